@@ -1,0 +1,27 @@
+"""Registry of the engine's queries: one function and one SQL text a name."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import window as W
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row per key over base and delta, then a stratified top-N a group by seeded digest order."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    base = orders.where("o_orderdate < '1997-01-01'").withColumn("part", F.lit(0))
+    delta = orders.where("o_orderdate >= '1996-06-01'").withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("part", F.lit(1))
+    latest = base.unionByName(delta).withColumn("rn", F.row_number().over(W.Window.partitionBy("o_orderkey").orderBy(F.desc("part")))).where("rn = 1")
+    draw = W.Window.partitionBy("o_orderpriority").orderBy(F.sha2(F.concat(F.lit("seed:"), F.col("o_orderkey").cast("string")), 256))
+    return latest.withColumn("pick", F.row_number().over(draw)).where("pick <= 5").select("o_orderkey", "o_orderpriority", "o_totalprice", "pick")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
