@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         start, held = 0, 0
-        sizes = pa.compute.binary_length(texts).to_pylist()
+        sizes = pc.binary_length(texts).to_pylist()
         for i, n in enumerate(sizes):
             if held and held + (n or 0) > most:
                 yield batch.slice(start, i - start)
@@ -102,7 +103,3 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int
             held += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
-
-
-def ship_array(values, kind: pa.DataType) -> pa.Array:
-    return pa.array(values, type=kind)
