@@ -384,7 +384,7 @@ def test_mpeg_parse():
 
 def test_mpeg_other_streams():
     # MPEG-2 layer III, 64 kbit/s at 22,050 Hz: 208 bytes a frame of 576 samples; MPEG-1 layer II, 64 kbit/s at 48 kHz: 192 bytes
-    three, two = bytes([0xFF, 0xF3, 0x80, 0xC0]) + bytes(204), bytes([0xFF, 0xFD, 0x54, 0x00]) + bytes(188)
+    three, two = bytes([0xFF, 0xF3, 0x80, 0xC0]) + bytes(204), bytes([0xFF, 0xFD, 0x44, 0x00]) + bytes(188)
     a, b = mpeg_audio.parse(three * 5), mpeg_audio.parse(two * 3)
     assert (a["frames"], a["samples"], a["rate"], a["layer"]) == (5, 2880, 22050, 3)
     assert (b["frames"], b["samples"], b["rate"], b["layer"]) == (3, 3456, 48000, 2)
