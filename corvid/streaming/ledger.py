@@ -14,17 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corvid.operators.versioning import append_unseen
 
 
 def read_ledger(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    shape = StructType([*like.schema.fields, StructField("batch", LongType())])
     try:
-        return spark.read.schema(like.schema.add("batch", "long")).option("ignoreMissingFiles", "true").parquet(path)
+        return spark.read.schema(shape).parquet(path)
     except Exception as e:  # the ledger's first batch
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], like.schema.add("batch", "long"))
+        return spark.createDataFrame([], shape)
 
 
 def feed_ledger(events: DataFrame, path: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
