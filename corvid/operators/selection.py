@@ -130,3 +130,57 @@ def share_capped(ordered: Sequence[tuple[str, str]], target: int, share: float)
             filled[value] = filled.get(value, 0) + 1
             out.append(key)
     return out
+
+
+def stratified(pool: DataFrame, key: str, cell: str, dimension: str, size: int, floors: Mapping[str, int], share: float, seed: str, reserve: int = 0, seeds: Sequence[object] = ()) -> DataFrame:
+    """(key, cell, dimension, reason): a deterministic stratified selection of ``size`` keys.
+
+    In turn: given seeds, floors of the dimension's values, equal filling of
+    cells by water-filling, then the rest in draw order while no value of the
+    dimension passes its share, and a reserve.  Ranks are computed in Spark;
+    the driver sees, of each cell and value, only as many candidates as could
+    be chosen (``size + reserve`` at most).
+    """
+    spark, most = pool.sparkSession, size + reserve
+    drawn = pool.withColumn("_draw", draw_order(seed, key))
+    near = F.least(*[F.row_number().over(W.Window.partitionBy(c).orderBy("_draw", key)) for c in (cell, dimension)])
+    given = F.col(key).isin(*seeds) if seeds else F.lit(False)
+    rows = drawn.withColumn("_near", near).where((F.col("_near") <= most) | given).select(key, cell, dimension, "_draw").orderBy("_draw", key).collect()
+    chosen: dict[object, str] = {}
+    count: dict[object, int] = {}
+
+    def take(r, reason: str) -> None:
+        chosen[r[key]] = reason
+        count[r[dimension]] = count.get(r[dimension], 0) + 1
+
+    for r in rows:
+        if r[key] in set(seeds) and len(chosen) < size:
+            take(r, "seed")
+    for value, need in sorted(floors.items()):
+        for r in rows:
+            if count.get(value, 0) >= need or len(chosen) >= size:
+                break
+            if r[dimension] == value and r[key] not in chosen:
+                take(r, "floor")
+    free: dict[object, list] = {}
+    filled: dict[object, int] = {}
+    for r in rows:
+        if r[key] in chosen:
+            filled[r[cell]] = filled.get(r[cell], 0) + 1
+        else:
+            free.setdefault(r[cell], []).append(r)
+    names = sorted({*free, *filled}, key=str)
+    targets = water_fill([(c, filled.get(c, 0), len(free.get(c, []))) for c in names], size - len(chosen))
+    for c in names:
+        for r in free.get(c, [])[: targets[c]]:
+            if (count.get(r[dimension], 0) + 1) / size <= share:
+                take(r, "cell")
+    for r in rows:
+        if len(chosen) >= size:
+            break
+        if r[key] not in chosen and (count.get(r[dimension], 0) + 1) / size <= share:
+            take(r, "fill")
+    left = [r for r in rows if r[key] not in chosen][:reserve]
+    told = [(r[key], r[cell], r[dimension], chosen[r[key]]) for r in rows if r[key] in chosen] + [(r[key], r[cell], r[dimension], "reserve") for r in left]
+    kinds = {c: pool.schema[c].dataType.simpleString() for c in (key, cell, dimension)}
+    return spark.createDataFrame(told, f"{key} {kinds[key]}, {cell} {kinds[cell]}, {dimension} {kinds[dimension]}, reason string")

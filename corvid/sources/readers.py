@@ -111,3 +111,35 @@ def set_closure(merged: DataFrame, base: DataFrame, fetched: DataFrame, key: str
     """Keys that a merge lost or invented: both counts are zero when merged is base with fetched."""
     whole = base.select(key).union(fetched.select(key)).distinct()
     return {"lost": whole.subtract(merged.select(key)).count(), "invented": merged.select(key).subtract(whole).count()}
+
+
+class StagedWriter:
+    """Batches appended to a staging folder, then moved to their place once the expected count is there; a restart goes on where it stopped."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str):
+        self.spark, self.path, self.key, self.staging = spark, path, key, path.rstrip("/") + ".staging"
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        return at(self.staging).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
+    def staged(self) -> DataFrame | None:
+        fs, at = self._fs()
+        return self.spark.read.parquet(self.staging) if fs.exists(at(self.staging)) else None
+
+    def append(self, batch: DataFrame) -> None:
+        """Rows whose key isn't staged yet."""
+        known = self.staged()
+        new = batch if known is None else batch.join(known.select(self.key), self.key, "left_anti")
+        new.write.mode("append").option("compression", "zstd").parquet(self.staging)
+
+    def commit(self, expected: int | None = None) -> int:
+        done = self.staged()
+        n = 0 if done is None else done.count()
+        if expected is not None and n != expected:
+            raise ValueError(f"{n} rows are staged, {expected} were expected")
+        fs, at = self._fs()
+        if not fs.rename(at(self.staging), at(self.path)):
+            raise OSError(f"{self.path} can't be put in place")
+        return n

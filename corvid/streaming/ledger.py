@@ -16,6 +16,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from corvid.operators.relational import latest
 from corvid.operators.versioning import append_unseen
 
 
@@ -29,12 +30,12 @@ def read_ledger(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return spark.createDataFrame([], shape)
 
 
-def feed_ledger(events: DataFrame, path: str, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Start the append; ``availableNow`` takes what there is and stops."""
+def feed_ledger(events: DataFrame, path: str, keys: Sequence[str], checkpoint: str, order: str | None = None) -> StreamingQuery:
+    """Start the append; ``availableNow`` takes what there is and stops.  ``order``: of a batch's rows with one key the least stays."""
 
     def append(batch: DataFrame, number: int) -> None:
         known = read_ledger(batch.sparkSession, path, batch).where(F.col("batch") < number)
-        new = append_unseen(known, batch, keys).withColumn("batch", F.lit(number).cast("long"))
+        new = append_unseen(known, latest(batch, keys, [F.col(order)]) if order else batch, keys).withColumn("batch", F.lit(number).cast("long"))
         new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     return events.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
