@@ -23,7 +23,7 @@ def number_phrase(tokens: Sequence[str], start: int = 0) -> tuple[int, int] | No
         t = tokens[k].lower()
         if t.isdigit() and not seen:
             part, seen = int(t), True
-        elif t in UNITS and (not seen or part % 10 == 0 and part % 100 >= 20 or part % 100 == 0 and part):
+        elif t in UNITS and (not seen or part % 100 == 0 or part % 10 == 0 and part % 100 >= 20):
             part, seen = part + UNITS[t], True
         elif t in TENS and (not seen or part % 100 == 0):
             part, seen = part + TENS[t], True
