@@ -82,3 +82,17 @@ def test_other_parsers():
     assert [(r["table_kind"], r["filename"]) for r in P.parse_filing_summary(summary)] == [("InputFiles", "a.htm"), ("Report", "R1.htm")]
     pem = b"-----BEGIN PRIVACY-ENHANCED MESSAGE-----\nProc-Type: 2001\n\n<DOCUMENT>\n<TYPE>4\n<TEXT>\nx\n</TEXT>\n</DOCUMENT>\n-----END PRIVACY-ENHANCED MESSAGE-----\n"
     assert P.parse_bundle(pem)[0]["body"] == "x"
+
+
+def test_forms(spark):
+    from corvid.sources import forms as M
+
+    assert [M.family_of(f) for f in ("4/A", "13F-HR", "SC 13G/A", "10-K405", "424B5", "N-PX", "XYZ", "")] == ["ownership", "holdings", "beneficial", "annual", "prospectus", "proxy_votes", "other", "other"]
+    xml = b"<?xml version='1.0'?><ownershipDocument><issuer><name>A</name></issuer><reportingOwner><id>1</id></reportingOwner><nonDerivativeTransaction><shares><value>5</value></shares><shares><value>6</value></shares></nonDerivativeTransaction></ownershipDocument>"
+    family, rows = M.parse_form(xml, "4")
+    assert family == "ownership" and rows[0] == ("header", 0, {"issuer/name": "A"}) and rows[2] == ("nonDerivativeTransaction", 1, {"shares/value": "5", "shares/value[2]": "6"})
+    text = b"FORM 10-K\nCommission File Number: 001-123\nFor the fiscal year ended December 31, 2023\n\nItem 1. Business\nx\nItem 2. Properties\ny\n"
+    _, rows = M.parse_form(text, "10-K")
+    assert rows[0][2] == {"Commission File Number": "001-123", "For the fiscal year ended": "December 31, 2023"} and [r[2]["item"] for r in rows[1:]] == ["1", "2"]
+    bad = M.form_rows(spark.createDataFrame([(1, "4", "<?xml version='1.0'?><a>")], "k long, form string, t string"), "k", "form", "t").first()
+    assert bad["error"].startswith("ParseError")
