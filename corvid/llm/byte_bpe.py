@@ -38,7 +38,8 @@ from pyspark.sql import types as T
 from corvid.llm.common import by_bytes, table, text_of
 
 LONG = 256
-CACHE = 500_000  # chunks and pre-tokens kept by a worker; emptied beyond that
+CACHE = 250_000  # chunks kept by a worker, with their pre-tokens; emptied beyond that
+WORDS = 40_000  # pre-tokens of one recursive query
 #: Unicode white space; a chunk is a run of it with the run of other characters after it.
 SPACE = r"\x09-\x0d\x85\p{Z}"
 CHUNK = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -69,7 +70,7 @@ SELECT w, p, a, step FROM state
 
 #: The vocabulary has a letter for each byte (its code point); the letters are joined in order.
 DECODE = """
-SELECT d, string_agg(letters, '' ORDER BY p) AS text, count(letters) AS known, count(*) AS n
+SELECT d, array_to_string(list(letters ORDER BY p), '') AS text, count(letters) AS known, count(*) AS n
 FROM ids LEFT JOIN vocabulary USING (id) GROUP BY d
 """
 
@@ -84,7 +85,7 @@ class Coder:
         pairs = [(self.ranks[x[:k]], self.ranks[x[k:]], r) for x, r in self.ranks.items() for k in range(1, len(x)) if x[:k] in self.ranks and x[k:] in self.ranks]
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         a, b, r = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self.db.register("given", pa.table({"pair": a << 32 | b, "rank": r}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "letters": pa.array([x.decode("latin-1") for x in self.ranks])}))
@@ -92,8 +93,8 @@ class Coder:
         self.pairs: dict[tuple[int, int], int] | None = None
         self.forget()
 
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word: the recursive query over all of them."""
+    def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, ids in each): the recursive query over all of them."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
@@ -108,8 +109,7 @@ class Coder:
         np.maximum.at(last, w, step)
         fixed = step == last[w]
         w, p, a = w[fixed], p[fixed], a[fixed].astype(np.uint32)
-        flat = a[np.lexsort((p, w))]
-        return np.split(flat, np.cumsum(np.bincount(w, minlength=len(words)))[:-1])
+        return a[np.lexsort((p, w))], np.bincount(w, minlength=len(words))
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """The same ids by a heap of (rank, position) over linked tokens."""
@@ -136,7 +136,7 @@ class Coder:
     def _cut(self, chunks: list[str]) -> list[list[str]]:
         """The pre-tokens of each chunk.  Chunks that begin with white space are cut as one text: a chunk's end is always a pre-token's end."""
         spaced = [i for i, c in enumerate(chunks) if SPACED.match(c) and not SPACED.match(c[-1])]
-        out = [[] if i is None else i for i in [None] * len(chunks)]
+        out: list[list[str]] = [[]] * len(chunks)
         pieces = self.pattern.findall("".join(chunks[i] for i in spaced))
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
         bounds = np.searchsorted(ends, np.cumsum([len(chunks[i]) for i in spaced]), "left") + 1
@@ -149,27 +149,43 @@ class Coder:
                 out[i] = self.pattern.findall(c)
         return out
 
+    def _learn_words(self, words: list[str]) -> None:
+        parts, sizes, names = [self.word_flat], [np.diff(self.word_starts)], []
+        short = [x for x in words if len(x) <= LONG and len(x.encode()) <= LONG]
+        for at in range(0, len(short), WORDS):
+            ids, each = self.merge_words([x.encode() for x in short[at : at + WORDS]])
+            parts.append(ids)
+            sizes.append(each)
+        names += short
+        if len(short) < len(words):
+            for x in words:
+                if len(x) > LONG or len(x.encode()) > LONG:
+                    parts.append(self.merge_long(x.encode()))
+                    sizes.append(np.array([len(parts[-1])]))
+                    names.append(x)
+        base = len(self.words)
+        self.words.update(zip(names, range(base, base + len(names)), strict=True))
+        self.word_flat = np.concatenate(parts)
+        self.word_starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
     def _learn(self, chunks: list[str]) -> None:
         cut = self._cut(chunks)
         flat = [p for pieces in cut for p in pieces]
-        new = [x for x in dict.fromkeys(flat) if x not in self.words]
-        short = [(x, e) for x in new if len(e := x.encode()) <= LONG]
-        for at in range(0, len(short), 100_000):
-            part = short[at : at + 100_000]
-            self.words.update(zip([x for x, _ in part], self.merge_words([e for _, e in part]), strict=True))
-        self.words.update((x, self.merge_long(x.encode())) for x in new if x not in self.words)
-        ids = [self.words[p] for p in flat]
-        each = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
-        ends = each[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))]
+        if new := [x for x in dict.fromkeys(flat) if x not in self.words]:
+            self._learn_words(new)
+        place = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        ids, each = _gather(self.word_flat, self.word_starts, place)
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))]
         base = len(self.chunks)
         self.chunks.update(zip(chunks, range(base, base + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + ends])
-        self.flat = np.concatenate([self.flat, *ids])
+        self.flat = np.concatenate([self.flat, ids])
 
     def forget(self) -> None:
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, int] = {}  # a pre-token's place in word_starts
         self.chunks: dict[str, int] = {}  # a chunk's place in starts
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.uint32)
+        self.word_starts, self.word_flat = np.zeros(1, np.int64), np.empty(0, np.uint32)
 
     def _chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """(chunk of each place, chunks in each text, distinct chunks)."""
@@ -209,14 +225,9 @@ class Coder:
             self._learn(new)
         gc.enable()
         place = np.fromiter((self.chunks.get(c, 0) for c in distinct), np.int64, len(distinct))
-        first, size = self.starts[place], self.starts[place + 1] - self.starts[place]
-        each = size[index]
-        total = np.cumsum(each)
-        n = int(total[-1]) if len(total) else 0
-        at = np.repeat(first[index] - (total - each), each)
-        at += np.arange(n, dtype=np.int64)
-        sums, ends = np.concatenate([[0], total]), np.concatenate([[0], np.cumsum(counts)])
-        return self.flat[at], np.diff(sums[ends])
+        ids, each = _gather(self.flat, self.starts, place[index])
+        sums, ends = np.concatenate([[0], np.cumsum(each)]), np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(sums[ends])
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of each document's ids; KeyError for an id outside the vocabulary."""
@@ -231,6 +242,16 @@ class Coder:
         return out
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the slices of ``flat`` at these places, one after another, and their lengths)."""
+    first = starts[place]
+    each = starts[place + 1] - first
+    total = np.cumsum(each)
+    at = np.repeat(first - (total - each), each)
+    at += np.arange(len(at), dtype=np.int64)
+    return flat[at], each
+
+
 @functools.lru_cache(2)
 def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
@@ -253,7 +274,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return rows.mapInArrow(_encode(path, pattern, ["id", "text"]), T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
-def _decode(path: str, pattern: str, keep: list[str], hashed: bool) -> Callable:
+def _decode(path: str, pattern: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(path, pattern)
         for whole in batches:
@@ -261,16 +282,8 @@ def _decode(path: str, pattern: str, keep: list[str], hashed: bool) -> Callable:
                 batch = whole.slice(at, 1024)
                 lists = batch.column("ids")
                 sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                ids = lists.flatten().to_numpy(zero_copy_only=False)
-                data = mine.decode(ids, sizes)
-                out = [*[batch.column(c) for c in keep]]
-                if hashed:
-                    ends, view = np.cumsum(sizes), memoryview(ids.astype("<u4").tobytes())
-                    digests = [hashlib.sha256(view[4 * (e - s) : 4 * e]).hexdigest() for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
-                    out += [pa.array(sizes), pa.array(digests), pa.array([hashlib.sha256(x).hexdigest() for x in data])]
-                else:
-                    out += [lists, pa.array(data, pa.binary())]
-                yield pa.RecordBatch.from_arrays(out, names=[*keep, *(("n_tokens", "ids_sha256", "decoded_sha256") if hashed else ("ids", "decoded"))])
+                data = mine.decode(lists.flatten().to_numpy(zero_copy_only=False), sizes)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), lists, pa.array(data, pa.binary())], names=["id", "ids", "decoded"])
 
     return run
 
@@ -278,19 +291,31 @@ def _decode(path: str, pattern: str, keep: list[str], hashed: bool) -> Callable:
 def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     """(id, ids, decoded) from (id, ids): the decoded bytes."""
     rows = coded.select("id", "ids")
-    return rows.mapInArrow(_decode(path, pattern, ["id"], False), T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return rows.mapInArrow(_decode(path, pattern), T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def digests(coded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) from (id, ids): decoded, then hashed where they are."""
-    rows = coded.select("id", "ids")
+def _round_trip(path: str, pattern: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = coder(path, pattern)
+        for batch in by_bytes(batches):
+            ids, sizes = mine.encode(batch.column("text"))
+            ends, view = np.cumsum(sizes), memoryview(ids.astype("<u4").tobytes())
+            coded = [hashlib.sha256(view[4 * (e - s) : 4 * e]).hexdigest() for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+            decoded = [hashlib.sha256(x).hexdigest() for x in mine.decode(ids, sizes)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(coded), pa.array(decoded)], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): encoded, and the ids decoded again where they are, so that neither leaves the worker."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     fields = [rows.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return rows.mapInArrow(_decode(path, pattern, ["id"], True), T.StructType(fields))
+    return rows.mapInArrow(_round_trip(path, pattern), T.StructType(fields))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
-    coded = encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    return digests(coded, ranks, pattern).withColumnRenamed("id", "doc_id")
+    return round_trip(table(spark, sf_dir, "documents"), ranks, pattern).withColumnRenamed("id", "doc_id")
