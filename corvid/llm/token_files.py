@@ -46,7 +46,7 @@ MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, bytes lo
 READ = "id long, start long, n_tokens long, crc32 long"
 #: Characters below this need no normalization beyond lower case, and the library's classes for them are spelled out in WordEncoder.
 PLAIN = 0x250
-CACHE = 1_200_000  # words kept by a worker; the cache is emptied beyond that
+CACHE = 300_000  # words kept by a worker; the cache is emptied beyond that
 
 
 def _byte_letters() -> dict[int, str]:
@@ -170,7 +170,7 @@ def _write(folder: str, tokenizer: str, shard_tokens: int) -> Callable:
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("bytes", pa.int64())]))
 
         count = 0
-        for batch in by_bytes(batches, most=16 << 20):
+        for batch in by_bytes(batches):
             tokens, sizes = with_ends(*encoder.encode(batch.column("text")), END)
             held.append((tokens, sizes, batch.column("id").to_numpy(zero_copy_only=False)))
             count += len(tokens)
@@ -183,7 +183,7 @@ def _write(folder: str, tokenizer: str, shard_tokens: int) -> Callable:
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 8192, shard_tokens: int = 8_000_000) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 8192, shard_tokens: int = 4_000_000) -> DataFrame:
     """Write the shards under ``folder`` and return the manifest: (part, seq, path, n_docs, n_tokens, bytes, start).
 
     Ids must be integers; a null id is written as the smallest integer.
