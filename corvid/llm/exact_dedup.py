@@ -80,7 +80,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_
     tested = with_repeat_test(narrow, "sha", bloom, bits, "suspected")
     single = tested.where("not suspected").select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "suspected")
     suspects = tested.where("suspected")
-    groups = suspects.groupBy("sha").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count("*").alias("group_size"))
+    # written, so that both sides of the join below are plain exchanges, of which Spark can split a hot hash's partition
+    groups = written(suspects.groupBy("sha").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count("*").alias("group_size")), "groups")
     grouped = suspects.join(groups, "sha").select("id", "sha", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "suspected")
     return single.unionByName(grouped), bloom, bits
 
