@@ -137,9 +137,9 @@ a AS (SELECT p_partkey, head, CASE WHEN p_partkey % 3 = 0 THEN mods[1:1] ELSE mo
 """
 
 
-@query(f"{_ATOMS} SELECT head, mods FROM u x WHERE NOT EXISTS (SELECT 1 FROM u y WHERE y.head = x.head AND list_has_all(y.mods, x.mods) AND len(y.mods) > len(x.mods))")
+@query(f"{_ATOMS} SELECT head, array_to_string(mods, ',') AS mods FROM u x WHERE NOT EXISTS (SELECT 1 FROM u y WHERE y.head = x.head AND list_has_all(y.mods, x.mods) AND len(y.mods) > len(x.mods))")
 def atom_subsumption(spark, sf_dir):
-    return A.most_specific(_atoms(spark, sf_dir), "head", "mods")
+    return A.most_specific(_atoms(spark, sf_dir), "head", "mods").select("head", F.array_join("mods", ",").alias("mods"))
 
 
 @query(f"{_ATOMS} SELECT p_partkey FROM a, (SELECT mods AS w FROM a ORDER BY len(mods), p_partkey LIMIT 1) WHERE list_has_all(mods, w)")

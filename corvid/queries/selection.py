@@ -141,11 +141,11 @@ def ordered_lookup(spark, sf_dir):
     return asked.join(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", "left").select("pos", "c_custkey", "c_name")
 
 
-@query("""SELECT p_partkey, regexp_extract_all(regexp_replace(regexp_replace(n, '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '[A-Za-z0-9]+') AS words
+@query("""SELECT p_partkey, array_to_string(regexp_extract_all(regexp_replace(regexp_replace(n, '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '[A-Za-z0-9]+'), ' ') AS words
 FROM (SELECT p_partkey, replace(replace(p_brand, '#', 'No'), ' ', '') || 'ABCName' || p_partkey AS n FROM part)""")
 def split_camel_case(spark, sf_dir):
     p = load(spark, sf_dir, "part").select("p_partkey", F.concat(F.replace(F.replace("p_brand", F.lit("#"), F.lit("No")), F.lit(" "), F.lit("")), F.lit("ABCName"), F.col("p_partkey").cast("string")).alias("n"))
-    return p.select("p_partkey", X.split_camel(F.col("n")).alias("words"))
+    return p.select("p_partkey", F.array_join(X.split_camel(F.col("n")), " ").alias("words"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN d BETWEEN 75 AND 105 THEN 'QUARTER' WHEN d BETWEEN 160 AND 200 THEN 'YTD_2Q' WHEN d BETWEEN 250 AND 295 THEN 'YTD_3Q' WHEN d BETWEEN 340 AND 380 THEN 'ANNUAL' WHEN d > 380 THEN 'CUMULATIVE' ELSE 'DURATION' END AS kind

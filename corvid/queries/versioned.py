@@ -90,10 +90,10 @@ def ledger_append_unseen(spark, sf_dir):
     return V.append_unseen(e.where("event_id <= 500"), new, ["user_id", "event_type"])
 
 
-@query("""SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) AS event_id, list_sort(list(DISTINCT event_type)) AS sources FROM events GROUP BY user_id""")
+@query("""SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) AS event_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS sources FROM events GROUP BY user_id""")
 def events_dedupe_multi_source(spark, sf_dir):
     e = load(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("event_type"), F.min("event_id").alias("event_id"), F.sort_array(F.collect_set("event_type")).alias("sources"))
+    return e.groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("event_type"), F.min("event_id").alias("event_id"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("sources"))
 
 
 @query("SELECT event_type, count(*) AS n, CAST(max(ts) AS VARCHAR)[:19] AS high FROM events GROUP BY 1")
