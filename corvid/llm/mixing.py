@@ -33,7 +33,7 @@ from corvid.llm.common import fresh, table, text_of, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 STEPS = 60
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def token_count(text_col: str) -> Column:
