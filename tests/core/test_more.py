@@ -96,3 +96,16 @@ def test_forms(spark):
     assert rows[0][2] == {"Commission File Number": "001-123", "For the fiscal year ended": "December 31, 2023"} and [r[2]["item"] for r in rows[1:]] == ["1", "2"]
     bad = M.form_rows(spark.createDataFrame([(1, "4", "<?xml version='1.0'?><a>")], "k long, form string, t string"), "k", "form", "t").first()
     assert bad["error"].startswith("ParseError")
+
+
+def test_manifest(tmp_path):
+    import hashlib
+
+    from corvid.operators.planning import validate_manifest
+
+    (tmp_path / "a").write_bytes(b"one")
+    (tmp_path / "b").write_bytes(b"two")
+    good = [{"path": "a", "bytes": 3, "sha256": hashlib.sha256(b"one").hexdigest()}, {"path": "b", "bytes": 3}]
+    assert validate_manifest(tmp_path, good) == []
+    bad = [{"path": "b", "bytes": 9}, {"path": "a", "sha256": "x"}, {"path": "../c"}, {"path": "z"}]
+    assert [x.split(": ")[1] for x in validate_manifest(tmp_path, bad)] == ["3 bytes, not 9", "not after b", "digest", "outside the root", "missing"]
