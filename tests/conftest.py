@@ -17,6 +17,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from corvid.session import ship
+
+    ship(session)
     yield session
 
 
