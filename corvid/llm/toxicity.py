@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     sample, sizes = labelled_sample(docs, labels, label, bound, PARTS, PART, id_col, text_col)
     rows = sample.mapInArrow(_slots, "slots binary, y int").collect()  # at most ``bound`` labelled ids
     rows = sorted((bytes(r["slots"]), r["y"]) for r in rows)
-    return fit([(np.frombuffer(s, "<u4").astype(np.int64), y) for s, y in rows], sizes)
+    return fit([(np.frombuffer(s, "<u4"), y) for s, y in rows], sizes)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
