@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import by_bytes, table, text_of
+from corvid.llm.common import by_bytes, table, text_of, trim
 
 LONG = 256
-CACHE = 250_000  # chunks kept by a worker, with their pre-tokens; emptied beyond that
-WORDS = 40_000  # pre-tokens of one recursive query
+CACHE = 150_000  # chunks kept by a task, with their pre-tokens; emptied beyond that
+SLICE = 4 << 20  # bytes of text encoded at once
+WORDS = 15_000  # pre-tokens of one recursive query
 #: Unicode white space; a chunk is a run of it with the run of other characters after it.
 SPACE = r"\x09-\x0d\x85\p{Z}"
 CHUNK = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -213,9 +214,9 @@ class Coder:
             distinct += more
         return index, sizes, distinct
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, cache: int = CACHE) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids in each text)."""
-        if len(self.chunks) > CACHE:
+        if len(self.chunks) > cache:
             self.forget()
         index, counts, distinct = self._chunks(texts)
         used = np.zeros(len(distinct), bool)
@@ -257,21 +258,23 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
-def _encode(path: str, pattern: str, keep: list[str]) -> Callable:
+def _encode(path: str, pattern: str, keep: list[str], cache: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(path, pattern)
-        for batch in by_bytes(batches):
-            ids, sizes = mine.encode(batch.column("text"))
+        for batch in by_bytes(batches, most=SLICE):
+            ids, sizes = mine.encode(batch.column("text"), cache)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, "ids"])
+        mine.forget()
+        trim()
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, ids) of every document."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE) -> DataFrame:
+    """(id, ids) of every document; ``cache``: chunks that a task remembers, which changes its memory and time, never its ids."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_encode(path, pattern, ["id", "text"]), T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return rows.mapInArrow(_encode(path, pattern, ["id"], cache), T.StructType([rows.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def _decode(path: str, pattern: str) -> Callable:
@@ -294,24 +297,26 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(_decode(path, pattern), T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def _round_trip(path: str, pattern: str) -> Callable:
+def _round_trip(path: str, pattern: str, cache: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(path, pattern)
-        for batch in by_bytes(batches):
-            ids, sizes = mine.encode(batch.column("text"))
+        for batch in by_bytes(batches, most=SLICE):
+            ids, sizes = mine.encode(batch.column("text"), cache)
             ends, view = np.cumsum(sizes), memoryview(ids.astype("<u4").tobytes())
             coded = [hashlib.sha256(view[4 * (e - s) : 4 * e]).hexdigest() for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
             decoded = [hashlib.sha256(x).hexdigest() for x in mine.decode(ids, sizes)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(coded), pa.array(decoded)], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        mine.forget()
+        trim()
 
     return run
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", cache: int = 2 * CACHE) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): encoded, and the ids decoded again where they are, so that neither leaves the worker."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     fields = [rows.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return rows.mapInArrow(_round_trip(path, pattern), T.StructType(fields))
+    return rows.mapInArrow(_round_trip(path, pattern, cache), T.StructType(fields))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -9,6 +9,9 @@ re-computation, and every executor sees the same rows.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -90,6 +93,14 @@ def text_of(column: str):
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def trim() -> None:
+    """Give freed memory back at the end of a task: workers are used again, and what one stage cached is no use to the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about ``most`` bytes (one longer text is a slice of its own)."""
     for batch in batches:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from corvid.llm.common import by_bytes, scratch_path, table, text_of, written
+from corvid.llm.common import by_bytes, scratch_path, table, text_of, trim, written
 from corvid.llm.wavelet import WaveletMatrix, from_bytes, to_bytes
 
 END = 1
@@ -179,6 +179,8 @@ def _write(folder: str, tokenizer: str, shard_tokens: int) -> Callable:
                 yield shard()
         if held:
             yield shard()
+        encoder.forget()
+        trim()
 
     return write
 
