@@ -72,9 +72,9 @@ def lifecycle_gap(spark, sf_dir):
 
 @query("""SELECT l_partkey, occ, occurrences, CASE WHEN occurrences = 1 THEN 'single' WHEN occurrences <= 3 THEN 'low_2_to_3' ELSE 'high_4_plus' END AS locator_class FROM (
 SELECT l_partkey, occ, row_number() OVER w AS rn, count(*) OVER (PARTITION BY l_partkey) AS occurrences FROM (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS occ, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY l_partkey, l_suppkey)
-WINDOW w AS (PARTITION BY l_partkey ORDER BY occ)) WHERE rn = 1""")
-def locator_rollup_framed_count(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").groupBy("l_partkey", "l_suppkey").agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("occ"))
+WINDOW w AS (PARTITION BY l_partkey ORDER BY occ)) WHERE rn = 1""", "l_orderkey % 20 = 0")
+def locator_rollup_framed_count(spark, sf_dir, rows="l_orderkey % 20 = 0"):
+    li = load(spark, sf_dir, "lineitem").where(rows).groupBy("l_partkey", "l_suppkey").agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("occ"))
     return S.locator_rollup(li, "l_partkey", "occ").select("l_partkey", "occ", "occurrences", "locator_class")
 
 

@@ -103,9 +103,9 @@ def sorted_index_position(spark, sf_dir):
     return below.where("there").select(F.col("a").alias("o_custkey"), "position", F.expr("position div 100").alias("part"), "total")
 
 
-@query("""SELECT a.l_orderkey, a.l_suppkey AS filer, b.l_suppkey AS cofiler FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey""")
-def cofilers(spark, sf_dir):
-    a = load(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").select("l_orderkey", F.col("l_suppkey").alias("filer")).distinct()
+@query("""SELECT a.l_orderkey, a.l_suppkey AS filer, b.l_suppkey AS cofiler FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey""", "l_orderkey % 20 = 0")
+def cofilers(spark, sf_dir, rows="l_orderkey % 20 = 0"):
+    a = load(spark, sf_dir, "lineitem").where(rows).select("l_orderkey", F.col("l_suppkey").alias("filer")).distinct()
     b = a.select(F.col("l_orderkey").alias("o"), F.col("filer").alias("cofiler"))
     return a.join(b, (F.col("l_orderkey") == F.col("o")) & (F.col("filer") != F.col("cofiler")), "left").select("l_orderkey", "filer", "cofiler")
 

@@ -104,9 +104,9 @@ def nested_unnest(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS a, list(o_orderkey ORDER BY o_orderkey) FILTER (o_orderstatus = 'F') AS b FROM orders WHERE o_custkey % 20 = 1 GROUP BY 1)
-SELECT o_custkey, a[i] AS a, b[i] AS b FROM a, unnest(generate_series(1, greatest(len(a), coalesce(len(b), 0)))) t(i)""")
-def arrays_zip_pad(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").where("o_custkey % 20 = 1")
+SELECT o_custkey, a[i] AS a, b[i] AS b FROM a, unnest(generate_series(1, greatest(len(a), coalesce(len(b), 0)))) t(i)""", "o_custkey % 20 = 1")
+def arrays_zip_pad(spark, sf_dir, rows="o_custkey % 20 = 1"):
+    o = load(spark, sf_dir, "orders").where(rows)
     n = o.groupBy("o_custkey").agg(F.struct(F.sort_array(F.collect_list("o_orderkey")).alias("a"), F.sort_array(F.collect_list(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")))).alias("b")).alias("s"))
     return n.select("o_custkey", F.inline(N.zipped(["a", "b"], "s")))
 
