@@ -64,9 +64,9 @@ def size_band_by_median(spark, sf_dir):
 
 @query("""WITH y AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 5 = 0), p AS (SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS nx FROM y),
 m AS (SELECT o_custkey, max(y) AS hi, count(*) AS n, coalesce(bool_or(nx - y >= 3), false) AS gap FROM p GROUP BY 1), g AS (SELECT max(y) AS last FROM y)
-SELECT o_custkey, gap AS has_revival_gap, CASE WHEN n <= 2 AND last - hi <= 2 THEN 'short_recent_history' WHEN last - hi >= 5 THEN 'ceased_filing_observed' WHEN last - hi <= 1 THEN 'right_censored_active' ELSE 'intermediate_or_dormant' END AS lifecycle_class FROM m, g""")
-def lifecycle_gap(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select("o_custkey", F.year("o_orderdate").alias("y"))
+SELECT o_custkey, gap AS has_revival_gap, CASE WHEN n <= 2 AND last - hi <= 2 THEN 'short_recent_history' WHEN last - hi >= 5 THEN 'ceased_filing_observed' WHEN last - hi <= 1 THEN 'right_censored_active' ELSE 'intermediate_or_dormant' END AS lifecycle_class FROM m, g""", "o_orderkey % 5 = 0")
+def lifecycle_gap(spark, sf_dir, rows="o_orderkey % 5 = 0"):
+    o = load(spark, sf_dir, "orders").where(rows).select("o_custkey", F.year("o_orderdate").alias("y"))
     return S.lifecycle(o, "o_custkey", "y")
 
 
@@ -121,9 +121,9 @@ def floor_candidates(spark, sf_dir):
 
 @query("""WITH c AS (SELECT c_mktsegment AS cell, count(*) AS n FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1), l AS (SELECT max(lv) AS lv FROM generate_series(0, 1000) t(lv) WHERE (SELECT sum(least(n, lv)) FROM c) <= 60),
 g AS (SELECT cell, least(n, lv) + CASE WHEN n > lv AND row_number() OVER (PARTITION BY n > lv ORDER BY cell) <= 60 - (SELECT sum(least(n, lv)) FROM c, l) THEN 1 ELSE 0 END AS target FROM c, l)
-SELECT c_custkey, cell FROM (SELECT c_custkey, c_mktsegment AS cell, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('s6:' || c_custkey), c_custkey) AS rn FROM customer WHERE c_custkey % 7 = 0) JOIN g USING (cell) WHERE rn <= target""")
-def cell_waterfill(spark, sf_dir):
-    c = load(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select("c_custkey", F.col("c_mktsegment").alias("cell"))
+SELECT c_custkey, cell FROM (SELECT c_custkey, c_mktsegment AS cell, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('s6:' || c_custkey), c_custkey) AS rn FROM customer WHERE c_custkey % 7 = 0) JOIN g USING (cell) WHERE rn <= target""", "c_custkey % 7 = 0")
+def cell_waterfill(spark, sf_dir, rows="c_custkey % 7 = 0"):
+    c = load(spark, sf_dir, "customer").where(rows).select("c_custkey", F.col("c_mktsegment").alias("cell"))
     cells = [(r["cell"], 0, r["count"]) for r in c.groupBy("cell").count().orderBy("cell").collect()]  # one row a segment
     return S.additions(c, "cell", S.water_fill(cells, 60), "s6", "c_custkey").select("c_custkey", "cell")
 

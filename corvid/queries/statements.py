@@ -24,9 +24,9 @@ _FACTS = "WITH f AS (SELECT l_orderkey AS k, l_returnflag || l_linestatus AS con
 
 @query("""WITH f AS (SELECT o_custkey AS e, o_orderstatus AS c, o_orderkey % 3 AS x, count(*) AS n, max(round(o_totalprice)) - min(round(o_totalprice)) <= 1 AS a, max(round(o_totalprice)) AS v FROM orders WHERE o_orderkey % 4 = 0 GROUP BY 1, 2, 3),
 p AS (SELECT * FROM f WHERE c IN ('P', 'F')), b AS (SELECT e, min(CASE c WHEN 'P' THEN 0 ELSE 1 END) AS r FROM p GROUP BY 1), o AS (SELECT p.e, c, count(*) AS n, bool_and(a) AS a, max(v) AS v FROM p JOIN b ON b.e = p.e AND r = CASE c WHEN 'P' THEN 0 ELSE 1 END GROUP BY 1, 2)
-SELECT c_custkey AS e, c AS concept, CASE WHEN a AND n = 1 THEN v END AS value, CASE WHEN n IS NULL THEN 'UNAVAILABLE' WHEN NOT a THEN 'CONFLICT' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'REPORTED' END AS status FROM customer LEFT JOIN o ON o.e = c_custkey""")
-def term_status(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+SELECT c_custkey AS e, c AS concept, CASE WHEN a AND n = 1 THEN v END AS value, CASE WHEN n IS NULL THEN 'UNAVAILABLE' WHEN NOT a THEN 'CONFLICT' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'REPORTED' END AS status FROM customer LEFT JOIN o ON o.e = c_custkey""", "o_orderkey % 4 = 0")
+def term_status(spark, sf_dir, rows="o_orderkey % 4 = 0"):
+    o = load(spark, sf_dir, "orders").where(rows)
     f = o.select(F.col("o_custkey").alias("e"), F.col("o_orderstatus").alias("concept"), F.round("o_totalprice").alias("value"), F.lit(0).alias("decimals"), F.lit(None).cast("date").alias("start"), F.lit(None).cast("date").alias("end"), F.create_map(F.lit("x"), (F.col("o_orderkey") % 3).cast("string")).alias("dims"))
     return Q.term_status(f, load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("e")), "e", ["P", "F"])
 

@@ -108,9 +108,9 @@ def high_water_mark(spark, sf_dir):
     return e.where("event_id > 400").join(F.broadcast(mark), F.col("ts") > F.col("m")).select("event_id", "user_id")  # one row
 
 
-@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 EXCEPT SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'""")
-def late_reconcile(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select("o_orderkey")
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 EXCEPT SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'""", "o_orderkey % 3 = 0")
+def late_reconcile(spark, sf_dir, rows="o_orderkey % 3 = 0"):
+    o = load(spark, sf_dir, "orders").where(rows).select("o_orderkey")
     seen = load(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     return R.new_rows(o, seen, ["o_orderkey"]).distinct()
 

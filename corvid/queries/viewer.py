@@ -96,9 +96,9 @@ def json_extract(spark, sf_dir):
     return load(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 3 = 0")
-def nested_unnest(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0")
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 3 = 0", "l_orderkey % 3 = 0")
+def nested_unnest(spark, sf_dir, rows="l_orderkey % 3 = 0"):
+    li = load(spark, sf_dir, "lineitem").where(rows)
     nested = li.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
     return nested.select("l_orderkey", F.inline("lines"))
 

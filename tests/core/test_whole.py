@@ -34,3 +34,26 @@ def test_panel_and_cofilers(spark, tmp_path):
         filers.setdefault(r["l_orderkey"], set()).add(r["l_suppkey"])
     want = {(k, a, b) for k, s in filers.items() for a in s for b in (s - {a} or {None})}
     assert {tuple(r) for r in own.queries()["cofilers_whole"](spark, at).collect()} == want
+
+
+def test_whole_history(spark, tmp_path):
+    """Conclusions that need every row: a customer with an order every year has no gap, and every status is seen."""
+    at = made(tmp_path, {"orders": "TRUE", "customer": "TRUE", "part": "TRUE"})
+    years, facts = {}, {}
+    for r in spark.read.parquet(f"{at}/orders.parquet").collect():
+        years.setdefault(r["o_custkey"], set()).add(r["o_orderdate"].year)
+        facts.setdefault(r["o_custkey"], set()).add(r["o_orderstatus"])
+    gaps = {c: any(b - a >= 3 for a, b in zip(sorted(y), sorted(y)[1:])) for c, y in years.items()}
+    assert {r["o_custkey"]: r["has_revival_gap"] for r in own.queries()["lifecycle_gap_whole"](spark, at).collect()} == gaps
+    status = {r["e"]: r["status"] for r in own.queries()["term_status_whole"](spark, at).collect()}
+    assert {e for e, s in status.items() if s == "UNAVAILABLE"} == {e for e in status if not facts.get(e, set()) & {"P", "F"}}
+    parts = {r["p_partkey"]: r["p_type"] for r in spark.read.parquet(f"{at}/part.parquet").collect()}
+    found = own.queries()["equivalent_facts_whole"](spark, at).collect()
+    assert {(r["k"], r["filing"]) for r in found} == {(a, b) for a, x in parts.items() for b, y in parts.items() if x == y}
+
+
+def test_whole_rows(spark, tmp_path):
+    at = made(tmp_path, {"lineitem": "l_orderkey % 3 <> 0", "orders": "o_orderkey % 3 <> 0", "customer": "c_custkey % 7 <> 0"})
+    for name in ("nested_unnest", "late_reconcile", "cell_waterfill"):
+        assert own.queries()[name](spark, at).isEmpty()
+        assert not own.queries()[f"{name}_whole"](spark, at).isEmpty()
