@@ -9,7 +9,8 @@ the byte offset of every frame, for seeking.
 ``pack`` stores bytes losslessly in such a stream: an ID3v2 tag with the
 payload's length, a Xing frame with its table, and protected MPEG-1 layer III
 frames at 32 kHz mono whose main data carry the payload, each of the least
-bitrate that holds what is left.
+bitrate that holds what is left.  Where payload would be taken for an ID3v1 tag,
+an empty one follows it.
 
 Defined results: null bytes parse to null; bytes without a frame have none, a
 zero duration and no offsets; a frame cut short ends the stream; a null text is
@@ -178,6 +179,7 @@ def parse(data: bytes) -> dict[str, Any]:
 RATE, SIDE = 32000, 17
 SIZES = [144 * k * 1000 // RATE for k in BITRATES[1, 3]]
 BODY = 4 + 2 + SIDE  # header, checksum and side information before a frame's main data
+ID3V1 = b"TAG" + bytes(125)  # an empty tag
 
 
 def _frame(bits: int, main: bytes, protected: bool = True) -> bytes:
@@ -209,7 +211,8 @@ def pack(payload: bytes) -> bytes:
         at += len(frame)
     toc = bytes(min(255, (offsets[k * len(offsets) // 100] if offsets else 0) * 256 // size) for k in range(100))
     table_ = b"Xing" + struct.pack(">III", 7, len(frames), size) + toc
-    return id3 + _frame(4, table_, False)[: SIZES[4]] + b"".join(frames)
+    out = id3 + _frame(4, table_, False)[: SIZES[4]] + b"".join(frames)
+    return out + ID3V1 if out[-128:-125] == b"TAG" else out
 
 
 def unpack(data: bytes, found: dict[str, Any]) -> bytes:

@@ -366,6 +366,15 @@ def test_mpeg_round_trip(spark, odd):
     assert mpeg_audio.store(odd.limit(0)).count() == 0
 
 
+def test_mpeg_payload_like_a_tag():
+    for n in (64, 65, 66, 1265, 1266, *range(1300, 1420, 7), 2706):
+        for size in (192, 1417, 1418, 2880):
+            payload = (b"x" * n + b"TAG" + b"y" * size)[:size]
+            media = mpeg_audio.pack(payload)
+            found = mpeg_audio.parse(media)
+            assert mpeg_audio.unpack(media, found) == payload and set(found["tags"]) == {"TXXX:payload"}, (n, size)
+
+
 def test_mpeg_parse():
     payload = bytes(range(256)) * 40
     data = mpeg_audio.pack(payload)
