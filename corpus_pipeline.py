@@ -35,10 +35,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens): the token ids of every document that is left."""
+    """(doc_id, ids, n_tokens): the token ids of every document that is left; each is decoded again and held against its text."""
     import public_tokenizers
 
-    coded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, check=True)
     return coded.select(F.col("id").alias("doc_id"), "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 

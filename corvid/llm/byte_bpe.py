@@ -258,11 +258,15 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
-def _encode(path: str, pattern: str, keep: list[str], cache: int) -> Callable:
+def _encode(path: str, pattern: str, keep: list[str], cache: int, check: bool = False) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(path, pattern)
         for batch in by_bytes(batches, most=SLICE):
             ids, sizes = mine.encode(batch.column("text"), cache)
+            if check:
+                for k, (data, text) in enumerate(zip(mine.decode(ids, sizes), batch.column("text").cast(pa.binary()), strict=True)):
+                    if data != text.as_py():
+                        raise ValueError(f"the ids of document {batch.column('id')[k].as_py()} don't decode to its text")
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, "ids"])
         mine.forget()
@@ -271,10 +275,13 @@ def _encode(path: str, pattern: str, keep: list[str], cache: int) -> Callable:
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE) -> DataFrame:
-    """(id, ids) of every document; ``cache``: chunks that a task remembers, which changes its memory and time, never its ids."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE, check: bool = False) -> DataFrame:
+    """(id, ids) of every document; ``cache``: chunks that a task remembers, which changes its memory and time, never its ids.
+
+    With ``check``, the ids are decoded again where they are, and ValueError tells of a document whose text they don't give.
+    """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_encode(path, pattern, ["id"], cache), T.StructType([rows.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return rows.mapInArrow(_encode(path, pattern, ["id"], cache, check), T.StructType([rows.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def _decode(path: str, pattern: str) -> Callable:

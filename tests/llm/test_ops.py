@@ -307,6 +307,21 @@ def test_byte_bpe_fuzz(bpe):
         coder.decode(np.array([50_000_0], np.uint32), np.array([1]))
 
 
+@pytest.mark.parametrize("part", ["encode", "decode"])
+def test_pipeline_decodes(spark, monkeypatch, part):
+    """The last stage holds decoded ids against the text: ids or bytes that are wrong don't pass."""
+    stages = []
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.mapInArrow", lambda self, f, schema: stages.append(f) or self.selectExpr("id", "array(1) AS ids"))
+    corpus_pipeline.STAGES[-1][1](spark, spark.createDataFrame([(1, "some text")], "doc_id long, text string"), "")
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["some text", ""]})
+    assert [b.column("ids").to_pylist()[1] for b in stages[-1](iter([batch]))] == [[]]
+    real = getattr(byte_bpe.Coder, part)
+    wrong = {"encode": lambda self, *a: (lambda ids, sizes: (ids[::-1].copy(), sizes))(*real(self, *a)), "decode": lambda self, *a: [x[1:] for x in real(self, *a)]}
+    monkeypatch.setattr(byte_bpe.Coder, part, wrong[part])
+    with pytest.raises(ValueError, match="document 1 "):
+        list(stages[-1](iter([batch])))
+
+
 def test_byte_bpe_odd(spark, odd):
     args = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     got = byte_bpe.decode(byte_bpe.encode(odd, *args), *args).collect()
