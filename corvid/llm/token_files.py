@@ -64,13 +64,13 @@ class WordEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.whole.model
         pattern = json.loads(self.whole.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         kinds = {k: "".join(re.escape(chr(c)) for c in range(PLAIN) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         inner = pattern.replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}").replace(r"[^\s\p{L}\p{N}]", r"\0")
         self.split = re.compile("\n|" + inner.replace(r"\p{L}", f"[{kinds['L']}]").replace(r"\p{N}", f"[{kinds['N']}]").replace(r"\0", rf"[^\s{kinds['L']}{kinds['N']}]"))
-        self.odd = re.compile(f"[^\x21-\x7e\xa1-{chr(PLAIN - 1)}]")
+        added = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([f"[^\x21-\x7e\xa1-{chr(PLAIN - 1)}]", *added]))  # the library finds its added tokens in a text
         self.letters = _byte_letters()
         self.forget()
 

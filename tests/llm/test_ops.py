@@ -204,6 +204,19 @@ def test_word_encoder():
     assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == want
 
 
+def test_token_files_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["see <|endoftext|> here", "a<|startoftext|>b <|ENDOFTEXT|>", "<|endoftext|><|endoftext|>", "é<|endoftext|> <|endoftext| >", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = f"file://{tmp_path}/t"
+    got = {r["id"]: r["crc32"] for r in token_files.read_token_files(token_files.write_token_files(docs, folder, path), folder).collect()}
+    coded = [[*Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert coded[0] == [862, 49407, 763, 1]
+    assert got == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in enumerate(coded)}
+
+
 def test_token_files_odd(spark, odd, tmp_path):
     for docs in (odd, odd.limit(0)):
         folder = f"file://{tmp_path}/{docs.count()}"
