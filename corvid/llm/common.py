@@ -1,8 +1,8 @@
 """What the operators of this subpackage share: scratch tables, table loading, batch slicing.
 
 Intermediate tables go to the folder that the cluster names in
-``spark.checkpoint.dir`` (only where it is unset, as in tests, a local one is
-made).  A written table cuts lineage: a lost executor costs a re-read, not a
+``spark.checkpoint.dir`` (only where it is unset on a single
+machine, as in tests, a local one is made).  A written table cuts lineage: a lost executor costs a re-read, not a
 re-computation, and every executor sees the same rows.
 """
 
@@ -25,9 +25,12 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see: ``spark.checkpoint.dir``; a local one is set only where it is unset."""
+    """The folder all executors and the driver see: ``spark.checkpoint.dir``; a local one is set only where it is unset and one machine runs all."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not place:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that every machine sees: {master} has more than one")
         place = "file://" + tempfile.mkdtemp(prefix="corvid-shared-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")
@@ -54,9 +57,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def release(spark: SparkSession) -> int:
-    """Remove every scratch table of this session; call it when no result that reads one is needed any more."""
-    mine = [x for x in _written if x[0] is spark]
+def mark() -> int:
+    """A place in the list of scratch tables, for ``release``."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> int:
+    """Remove this session's scratch tables, those from the mark on, without those that ``but`` names; call it when no result that reads one is needed any more."""
+    mine = [x for x in _written[since:] if x[0] is spark and not any(f"/{name}-" in x[1] for name in but)]
     for x in mine:
         _delete(*x)
         _written.remove(x)
