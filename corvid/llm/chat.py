@@ -3,10 +3,15 @@
 A log has one row an event: (conversation, message, sequence, kind, role,
 payload).  ``delta`` appends to its message, ``edit`` replaces its text,
 ``regenerate`` empties it and withdraws every later message begun before it,
-``delete`` withdraws the message.  A message is folded by taking the events
-from its last reset on, in sequence order, so no state is kept and the fold of a
-message needs its own events only; a hot conversation's messages spread over
-tasks.  A conversation's turns meet once, to become its one formatted string.
+``delete`` withdraws the message.  The log is parted by conversation, and a
+message is folded by taking its events from its last reset on, in sequence
+order.  A conversation is one task's work from its events to its one formatted
+string, which holds all of it anyway; other conversations spread.
+
+``as_events`` makes such a log of rows of turns: by a hash, a text arrives in
+three deltas, or as a draft that an edit replaces and deltas complete, or as a
+draft that is regenerated while an answer to it waits, or beside a message that
+is deleted.  The fold gives the rows back.
 
 The template is ``<turn role="R">text</turn>`` and a newline.  Inside roles and
 texts ``&`` and ``<`` (and ``"`` in roles) become entities, so neither marker can
@@ -98,14 +103,33 @@ def read_back(formatted: DataFrame) -> DataFrame:
     )
 
 
+DRAFT = "no, wait"
 SAMPLE = "\\### Assistant: </turn> ok"
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """A log with one delta a row of (conv_id, turn, role, text); rows that share a turn are messages of their own, by role and text."""
+    """The log of (conv_id, turn, role, text); rows that share a turn are messages of their own, by role and text.
+
+    A row's message is even and the odd one after it never stands; its events
+    have eight sequence numbers of their own.
+    """
     order = W.Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text", F.row_number().over(order).alias("msg"))
-    return rows.select(F.col("conv_id").alias("conv"), "msg", F.col("turn").alias("seq"), F.lit("delta").alias("kind"), "role", F.col("text").alias("payload"))
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.row_number().over(order).cast("long").alias("n"))
+    size = F.length("text")
+    cut, end = F.floor(size / 3).cast("int"), F.floor(2 * size / 3).cast("int")
+    parts = [F.substring("text", F.lit(1), cut), F.substring("text", cut + 1, end - cut), F.substring("text", end + 1, size - end)]
+
+    def event(step: int, kind: str, payload: Column | str, beside: int = 0) -> Column:
+        said = F.lit(payload) if isinstance(payload, str) else payload
+        return F.struct((2 * F.col("n") + beside).alias("msg"), (8 * F.col("n") + step).alias("seq"), F.lit(kind).alias("kind"), (F.lit("user") if beside else F.col("role")).alias("role"), said.alias("payload"))
+
+    streamed = [event(k, "delta", part) for k, part in enumerate(parts)]
+    edited = [event(0, "delta", DRAFT), event(1, "edit", parts[0]), event(2, "delta", F.concat(*parts[1:]))]
+    regenerated = [event(0, "delta", DRAFT), event(1, "delta", DRAFT, 1), event(2, "regenerate", ""), event(3, "delta", F.concat(*parts[:2])), event(4, "delta", parts[2])]
+    deleted = [event(0, "delta", F.col("text")), event(1, "delta", DRAFT, 1), event(2, "delete", "", 1)]
+    way = F.pmod(F.xxhash64("conv_id", "n"), F.lit(4))
+    log = F.when(way == 0, F.array(*streamed)).when(way == 1, F.array(*edited)).when(way == 2, F.array(*regenerated)).otherwise(F.array(*deleted))
+    return rows.select(F.col("conv_id").alias("conv"), F.inline(log))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
