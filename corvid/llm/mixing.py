@@ -12,7 +12,8 @@ Running sums go by permutation key in two levels: sums of key ranges (as many
 as the rows need), a running sum over those sums, and sums inside a range; so a
 source with a third of all rows is no single task's work.  The cut of an epoch
 is one key a source: ``mix`` broadcasts those (at most ``max_sources`` rows,
-checked) and decides on every row where it is, without a shuffle of texts.
+checked) and decides on every row where it is, without a shuffle of texts; with
+more sources than that it joins them by source.
 
 Defined results: a null source is one source; a null id is hashed as the empty
 text; rows that repeat an id share a key, and are in or out together; a source
@@ -99,6 +100,40 @@ def plan(groups: dict[str | None, int], exponent: float, budget: int | None = No
     return out
 
 
+def bisect_entropy(sums: DataFrame, share: float, at_once: int = 15) -> float:
+    """``exponent_for_entropy`` over a table of sources (tokens): each aggregation measures ``at_once`` exponents."""
+    t = F.col("tokens").cast("double")
+    some = sums.where("tokens > 0")
+    target = share * math.log2(max(some.count(), 1))
+
+    def good(exponents: list[float]) -> list[bool]:
+        # with p = t ** a and S their sum, the entropy is log2 S - a * sum(p log2 t) / S
+        parts = [x for a in exponents for x in (F.sum(F.pow(t, F.lit(a))), F.sum(F.pow(t, F.lit(a)) * F.log2(t)))]
+        got = some.agg(*parts).first()
+        return [got[2 * k] is None or math.log2(got[2 * k]) - a * got[2 * k + 1] / got[2 * k] >= target - 1e-12 for k, a in enumerate(exponents)]
+
+    if good([1.0])[0]:
+        return 1.0
+    low, high = 0.0, 1.0
+    while high - low > 1e-11:
+        points = [low + (high - low) * k / (at_once + 1) for k in range(1, at_once + 1)]
+        n = sum(good(points))  # the good ones are the first
+        low, high = ([low, *points][n], [*points, high][n])
+    return round(low, 9)
+
+
+def plan_table(sums: DataFrame, exponent: float, budget: int | None) -> DataFrame:
+    """``plan`` as a table (s, wanted, whole, rest, has) over a table of sources (source, tokens)."""
+    t, power = F.col("tokens").cast("double"), F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(exponent))).otherwise(0.0)
+    total = sums.agg(F.sum(power)).first()[0] or 1.0
+    if budget is None:
+        budget = math.ceil(sums.where("tokens > 0").agg(F.max(t / (power / total))).first()[0] or 0)
+    wanted = F.floor(power / total * budget + 0.5).cast("long")
+    shared = sums.select(F.col("source").alias("s"), F.col("tokens").alias("has"), F.when(F.col("tokens") > 0, wanted).otherwise(0).alias("wanted"))
+    some = F.col("has") > 0
+    return shared.select("s", "wanted", F.when(some, F.expr("wanted div greatest(has, 1)")).otherwise(1).alias("whole"), F.when(some, F.expr("wanted % greatest(has, 1)")).otherwise(0).alias("rest"), "has")
+
+
 def _sums(rows: DataFrame, total: int) -> DataFrame:
     """rows (source, epoch, key, tokens, ...) with ``upto``: tokens of the source and epoch up to this key, ties included."""
     digits = max(1, math.ceil(math.log(max(total / RANGE_ROWS, 1), 16)))
@@ -112,24 +147,33 @@ def _sums(rows: DataFrame, total: int) -> DataFrame:
 
 
 class Mixture:
-    """Sized rows, the exponent and the plan of a mixture."""
+    """Sized rows, the exponent and the plan of a mixture.
+
+    Up to ``max_sources`` sources are planned on the driver and their plan is
+    broadcast; beyond that the same sums, bisection and plan are made by
+    aggregations over the table of sources, and the plan is joined by source.
+    """
 
     def __init__(self, docs: DataFrame, source_col: str, id_col: str, text_col: str, seed: int, entropy_share: float | None, repeat_limit: float | None, budget: int | None, cover: bool, max_sources: int):
         self.seed, spark = seed, docs.sparkSession
         self.rows = written(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), token_count(text_col).alias("tokens")), "sized")
-        sums = self.rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).limit(max_sources + 1).collect()
-        if len(sums) > max_sources:
-            raise ValueError(f"more than {max_sources} sources; weights are planned on the driver")
-        groups = {r["source"]: r["tokens"] for r in sums}
-        self.total = sum(r["rows"] for r in sums)
-        tokens = list(groups.values())
-        self.exponent = exponent_for_repeats(tokens, repeat_limit) if repeat_limit is not None else exponent_for_entropy(tokens, 1.0 if entropy_share is None else entropy_share)
-        self.plan = plan(groups, self.exponent, None if cover else sum(tokens) if budget is None else budget)
-        told = [(s, *self.plan[s], groups[s]) for s in groups]
-        self.table = spark.createDataFrame(told, "s string, wanted long, whole long, rest long, has long")
+        sums = written(self.rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "sources")
+        n, self.total, tokens, high, low = sums.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0)), F.max("tokens"), F.min(F.when(F.col("tokens") > 0, F.col("tokens")))).first()
+        self.small, share = n <= max_sources, 1.0 if entropy_share is None else entropy_share
+        budget = None if cover else tokens if budget is None else budget
+        if self.small:
+            groups = {r["source"]: r["tokens"] for r in sums.collect()}
+            some = list(groups.values())
+            self.exponent = exponent_for_repeats(some, repeat_limit) if repeat_limit is not None else exponent_for_entropy(some, share)
+            told = [(s, *p, groups[s]) for s, p in plan(groups, self.exponent, budget).items()]
+            self.table = spark.createDataFrame(told, "s string, wanted long, whole long, rest long, has long")
+        else:
+            self.exponent = exponent_for_repeats([high, low] if low else [], repeat_limit) if repeat_limit is not None else bisect_entropy(sums, share)
+            self.table = written(plan_table(sums, self.exponent, budget), "plan")
 
     def with_plan(self, rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(self.table), F.col("source").eqNullSafe(F.col("s"))).drop("s")  # at most max_sources rows
+        told = F.broadcast(self.table) if self.small else self.table  # at most max_sources rows
+        return rows.join(told, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
     def cuts(self) -> DataFrame:
         """(s, whole, cut): the last key of the part epoch that stays within the budget; null where none does."""
@@ -139,7 +183,7 @@ class Mixture:
 
     def realised(self, block_tokens: int) -> DataFrame:
         """(id, source, epoch, block, n_tokens) of every drawn document; order inside a block is by md5 key."""
-        blocks = max(1, -(-sum(w for w, _, _ in self.plan.values()) // block_tokens))
+        blocks = max(1, -(-(self.table.agg(F.sum("wanted")).first()[0] or 0) // block_tokens))
         drawn = self.with_plan(self.rows).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole")))).where("epoch < whole or rest > 0")
         summed = _sums(drawn.withColumn("key", epoch_key(self.seed, F.col("epoch"), F.col("id"))), self.total).where("epoch < whole or upto <= rest")
         at = F.col("epoch") * F.col("has") + F.col("upto") - F.col("tokens")
@@ -152,7 +196,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     mixture = Mixture(docs, source_col, id_col, text_col, seed, entropy_share, repeat_limit, budget, cover, max_sources)
     s, whole, cut, copy = fresh(docs, "_s", "_whole", "_cut", "_copy")
     cuts = written(mixture.cuts().withColumnsRenamed({"s": s, "whole": whole, "cut": cut}), "cuts")
-    told = docs.join(F.broadcast(cuts), F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(s)))
+    told = docs.join(F.broadcast(cuts) if mixture.small else cuts, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(s)))
     part = F.coalesce(epoch_key(seed, F.col(whole), F.col(f"`{id_col}`")) <= F.col(cut), F.lit(False)).cast("long")
     times = told.withColumn(copy, F.col(whole) + part).where(F.col(copy) > 0)
     return times.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copy)))).select(*[f"`{c}`" for c in docs.columns])
