@@ -3,11 +3,12 @@
 ``parse`` reads any MPEG-1/2/2.5 audio stream: ID3v2 and ID3v1 tags, frame
 headers (resynchronised by skipping to the next header that another header or
 the end confirms), Xing/Info and VBRI variable-bitrate tables, and the CRC-16 of
-protected layer III frames.  It gives exact durations (samples over rate) and
+protected layer III frames.  It gives exact durations (samples over rate, rate by rate) and
 the byte offset of every frame, for seeking.
 
 ``pack`` stores bytes losslessly in such a stream: an ID3v2 tag with the
-payload's length, a Xing frame with its table, and protected MPEG-1 layer III
+payload's length and CRC-32 (a frame's own covers its header and side
+information only), a Xing frame with its table, and protected MPEG-1 layer III
 frames at 32 kHz mono whose main data carry the payload, each of the least
 bitrate that holds what is left.  Where payload would be taken for an ID3v1 tag,
 an empty one follows it.
@@ -20,9 +21,11 @@ empty; equal texts give equal media; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
+from fractions import Fraction
 from typing import Any
 
 import pyarrow as pa
@@ -145,7 +148,7 @@ def parse(data: bytes) -> dict[str, Any]:
     said, at, end = tags(data)
     data = data[:end]
     out: dict[str, Any] = {"tags": said, "vbr": None, "frames": 0, "samples": 0, "rate": 0, "layer": 0, "skipped": 0, "crc_checked": 0, "crc_failed": 0, "min_kbps": 0, "max_kbps": 0, "offsets": []}
-    offsets, rates = out["offsets"], set()
+    offsets, rates, lasting = out["offsets"], set(), {}
     first, sure = True, False
     while at < end:
         frame = header(data, at)
@@ -164,13 +167,15 @@ def parse(data: bytes) -> dict[str, Any]:
         if not (first and out["vbr"]):
             offsets.append(at)
             out["samples"] += frame.samples
+            lasting[frame.rate] = lasting.get(frame.rate, 0) + frame.samples
             rates.add(frame.kbps)
         first = False
         out["rate"], out["layer"] = out["rate"] or frame.rate, out["layer"] or frame.layer
         at = after
     out["frames"] = len(offsets)
     out["min_kbps"], out["max_kbps"] = min(rates, default=0), max(rates, default=0)
-    out["duration_us"] = out["samples"] * 1_000_000 // out["rate"] if out["rate"] else 0
+    # exact, whatever the sampling rates
+    out["duration_us"] = math.floor(sum((Fraction(n * 1_000_000, rate) for rate, n in lasting.items()), Fraction()))
     return out
 
 
@@ -201,7 +206,7 @@ def pack(payload: bytes) -> bytes:
         part = payload[at : at + room]
         bits = next(k for k, n in enumerate(SIZES) if n - BODY >= len(part))
         frames.append(_HEADS[bits] + part + bytes(SIZES[bits] - BODY - len(part)))
-    said = b"\0payload\0" + str(len(payload)).encode()
+    said = b"\0payload\0%d/%08x" % (len(payload), zlib.crc32(payload))
     tag = b"TXXX" + struct.pack(">IH", len(said), 0) + said
     id3 = b"ID3\x03\0\0" + bytes([len(tag) >> s & 127 for s in (21, 14, 7, 0)]) + tag
     size = SIZES[4] + sum(map(len, frames))
@@ -216,11 +221,12 @@ def pack(payload: bytes) -> bytes:
 
 
 def unpack(data: bytes, found: dict[str, Any]) -> bytes:
-    """The payload that ``pack`` stored, from the stream's own frames."""
-    parts = []
-    for at in found["offsets"]:
-        parts.append(data[at + BODY : at + header(data, at).size])
-    return b"".join(parts)[: int(found["tags"]["TXXX:payload"])] if parts else b""
+    """The payload that ``pack`` stored, from the stream's own frames; ValueError where a checksum, the table or the payload's own CRC-32 doesn't fit."""
+    size, crc = found["tags"]["TXXX:payload"].split("/")
+    payload = b"".join(data[at + BODY : at + header(data, at).size] for at in found["offsets"])[: int(size)]
+    if found["crc_failed"] or found["vbr"]["frames"] != found["frames"] or len(payload) != int(size) or zlib.crc32(payload) != int(crc, 16):
+        raise ValueError("the stream isn't as it was stored")
+    return payload
 
 
 MEDIA = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
