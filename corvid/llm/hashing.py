@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 TRIM = "\"'`.,;:!?()[]{}<>*&%$#@|~^-_=+/\\"
 
@@ -33,17 +36,26 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, parts: int, part: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[int]]:
-    """(text, y) of at most ``bound`` labelled ids (half of each class, in order of a hash of the id) that are not held out, and the class sizes.
+    """(id, text, y) of at most ``bound`` labelled ids (half of each class, in order of a hash of the id) that are not held out, and the class sizes.
 
     Rows with a null label or id are left out; an id labelled twice takes the larger label.
     """
-    known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(F.when(F.col(f"`{label}`") > 0, 1).otherwise(0)).alias("y"))
-    free = known.where(~held_out("_id", parts, part))
+    known = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.max(F.when(F.col(f"`{label}`") > 0, 1).otherwise(0)).alias("y"))
+    free = known.where(~held_out("id", parts, part))
     sizes = {r["y"]: r["count"] for r in free.groupBy("y").count().collect()}
-    some = [free.where(f"y = {y}").orderBy(F.xxhash64("_id"), "_id").limit(bound // 2) for y in (0, 1)]
+    some = [free.where(f"y = {y}").orderBy(F.xxhash64("id"), "id").limit(bound // 2) for y in (0, 1)]
     chosen = some[0].unionByName(some[1])  # at most ``bound`` rows of two numbers, whatever the input
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(chosen), "_id").select("text", "y"), [sizes.get(0, 0), sizes.get(1, 0)]
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    return rows.join(F.broadcast(chosen), "id").select("id", "text", "y"), [sizes.get(0, 0), sizes.get(1, 0)]
+
+
+def bounded(rows: DataFrame, features: list[str], max_bytes: int) -> list[Row]:
+    """The rows (id, features, y) a model is fitted on, sorted: one a labelled id (of rows that repeat it, the least), in order of
+    a hash of the id while their features stay within ``max_bytes`` together, so that what the driver holds is bounded whatever the texts."""
+    one = rows.groupBy("id").agg(F.min(F.struct(*features, "y")).alias("r"))
+    size = reduce(add, [F.length(f"r.{f}") for f in features]).cast("long")
+    upto = F.sum(size).over(W.Window.orderBy(F.xxhash64("id"), "id").rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow))  # one row a sampled id
+    return sorted(one.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("r.*").collect())
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str, text_col: str) -> DataFrame:

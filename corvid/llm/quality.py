@@ -7,8 +7,8 @@ which takes time linear in the features.  The fitted table is bounded by
 shuffles nothing.  Metadata are the text's lengths; labels, language, source
 and id are never inputs.
 
-The sample is bounded by ``bound`` labelled ids, half of each class; the
-intercept is then moved to the classes' true sizes.
+The sample is bounded by ``bound`` labelled ids, half of each class, and by the
+bytes of their features; the intercept is then moved to the classes' true sizes.
 
 Defined results: an empty or null text is scored from its statistics (all
 zero); without labels, or with one class only, every score is that class's
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.llm.common import by_bytes, table
-from corvid.llm.hashing import hashes, held_out, labelled_sample, scored, sigmoid, words
+from corvid.llm.hashing import bounded, hashes, held_out, labelled_sample, scored, sigmoid, words
 
 SLOTS = 1 << 16
 RANK = 8
@@ -140,14 +140,15 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, slot, value, stats = features(batch.column("text"))
         cuts = np.searchsorted(text, np.arange(1, batch.num_rows))
         kinds = (np.split(slot.astype("<u4"), cuts), np.split(value.astype("<f4"), cuts), list(stats.astype("<f4")))
-        yield pa.RecordBatch.from_arrays([*[pa.array([r.tobytes() for r in kind], pa.binary()) for kind in kinds], batch.column("y").cast(pa.int32())], names=["slots", "vals", "stats", "y"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *[pa.array([r.tobytes() for r in kind], pa.binary()) for kind in kinds], batch.column("y").cast(pa.int32())], names=["id", "slots", "vals", "stats", "y"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = 4000, max_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fitted on at most ``bound`` labelled ids, and ``max_bytes`` of their features."""
     sample, sizes = labelled_sample(docs, labels, label, bound, PARTS, PART, id_col, text_col)
-    got = sample.mapInArrow(_rows, "slots binary, vals binary, stats binary, y int").collect()  # at most ``bound`` labelled ids
-    got = sorted((bytes(r["slots"]), bytes(r["vals"]), bytes(r["stats"]), r["y"]) for r in got)
-    return fit([(np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(v, "<f4"), np.frombuffer(t, "<f4"), y) for s, v, t, y in got], sizes)
+    rows = sample.mapInArrow(_rows, f"id {sample.schema['id'].dataType.simpleString()}, slots binary, vals binary, stats binary, y int")
+    got = bounded(rows, ["slots", "vals", "stats"], max_bytes)
+    return fit([(np.frombuffer(r["slots"], "<u4").astype(np.int64), np.frombuffer(r["vals"], "<f4"), np.frombuffer(r["stats"], "<f4"), r["y"]) for r in got], sizes)
 
 
 def _scorer(shared) -> Callable[[pa.Array], np.ndarray]:
