@@ -8,9 +8,11 @@ merge table and contracts every word's leftmost pair of least rank, until no
 pair of any word is in the table.  Decoding joins (document, position, id) rows
 to the vocabulary and aggregates the bytes in order.
 
-A pre-token of more than ``LONG`` bytes is merged by a heap instead: the
-recursion's rows times its steps grow with the square of a word's length, and a
-text may be one word.  Both give tiktoken's ids.
+A query starts with ``ROWS`` rows or so and is cut off after ``STEPPED`` rows of
+steps; words that are finished by then have left it, and the others begin the
+next, split where no token can ever join their parts, and there a step contracts
+all pairs that the next leftmost contractions are bound to take.  So memory is
+bounded by the rows, and a text that is a single word takes few steps.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; null
 ids are not expected inside an ids array; an id outside the vocabulary raises;
@@ -23,7 +25,6 @@ import base64
 import functools
 import gc
 import hashlib
-import heapq
 from collections.abc import Callable, Iterator
 
 import duckdb
@@ -37,10 +38,11 @@ from pyspark.sql import types as T
 
 from corvid.llm.common import by_bytes, table, text_of, trim
 
-LONG = 256
 CACHE = 150_000  # chunks kept by a task, with their pre-tokens; emptied beyond that
 SLICE = 4 << 20  # bytes of text encoded at once
-WORDS = 15_000  # pre-tokens of one recursive query
+ROWS = 150_000  # token-position rows that a recursive query starts with (one longer pre-token is a query of its own)
+SPLIT = 16  # steps after which unfinished words are split where no token can join their parts
+STEPPED = 3_000_000  # rows that a query may step through before it is cut off; unfinished words begin the next query
 #: Unicode white space; a chunk is a run of it with the run of other characters after it.
 SPACE = r"\x09-\x0d\x85\p{Z}"
 CHUNK = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -49,6 +51,7 @@ RE2_SPACE = SPACE.replace(r"\x85", r"\x{85}")
 
 #: A row holds a token with the two after it (-1: none), so that a step needs no look at neighbours: r is the word's least
 #: rank, hit its leftmost place.  The row after the hit takes the merged token over, the rows before it see it ahead of them.
+#: A word without a pair has no row in the next step.
 MERGE = """
 WITH RECURSIVE state(w, p, a, b, c, step) AS (
   SELECT w, p, a, b, c, 0 FROM start
@@ -60,15 +63,66 @@ WITH RECURSIVE state(w, p, a, b, c, step) AS (
          CASE WHEN p = hit - 1 THEN third WHEN p = hit - 2 THEN r ELSE c END,
          step + 1
   FROM state JOIN (
-    SELECT w, min(key) >> 16 AS r, min(key) & 65535 AS hit, arg_min(c, key) AS third
-    FROM (SELECT s.w, (CAST(m.rank AS BIGINT) << 16) | s.p AS key, s.c FROM state s JOIN merges m ON m.pair = (CAST(s.a AS BIGINT) << 32) | s.b)
+    SELECT w, min(key) >> 32 AS r, min(key) & 4294967295 AS hit, arg_min(c, key) AS third
+    FROM (SELECT s.w, (CAST(m.rank AS BIGINT) << 32) | s.p AS key, s.c FROM state s JOIN merges m ON m.pair = (CAST(s.a AS BIGINT) << 32) | s.b)
     GROUP BY w
   ) USING (w)
-  WHERE p <> hit
+  WHERE p <> hit AND step < $steps
 )
 SELECT w, p, a, step FROM state
 """
 
+#: The same for words that are still unfinished: a step contracts, beside the leftmost pair of least rank, those that the
+#: next leftmost contractions are bound to take.  These are the other places of the least rank, from the left, unless the
+#: merged token is in a pair of lesser rank (``free`` is false); and any pair of which neither token can be taken before by
+#: a neighbour, however that grows, and whose merged token can't be taken at once: ``below`` and ``above`` of two neighbours
+#: are the least ranks of pairs of the right one with a token that ends with the left one, and the other way round.
+MERGE_ALL = """
+WITH RECURSIVE state(w, p, a, step) AS (
+  SELECT w, p, a, 0 FROM start
+  UNION ALL
+  SELECT w, p, CASE WHEN taken THEN rank ELSE a END, step + 1
+  FROM (
+    SELECT *, lag(taken, 1, false) OVER (PARTITION BY w ORDER BY p) AS gone
+    FROM (
+      SELECT *, bound OR (hit AND row_number() OVER (PARTITION BY w, run, hit ORDER BY p) % 2 = 1) AS taken
+      FROM (
+        SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY w ORDER BY p ROWS UNBOUNDED PRECEDING) AS run
+        FROM (
+          SELECT n.w, n.p, n.a, n.step, n.rank, n.rank IS NOT NULL AND n.rank = n.least AND (n.free OR n.p = n.first) AS hit,
+                 n.rank IS NOT NULL AND n.rank < coalesce(l.below, $none) AND n.rank <= coalesce(r.above, $none)
+                 AND (n.free OR (n.rank < coalesce(ll.below, $none) AND n.rank < coalesce(rr.above, $none))) AS bound
+          FROM (
+            SELECT s.*, i.rank, i.free, min(i.rank) OVER (PARTITION BY w) AS least, arg_min(p, (CAST(i.rank AS BIGINT) << 32) | p) OVER (PARTITION BY w) AS first
+            FROM (
+              SELECT w, p, CAST(a AS BIGINT) AS a, step, CAST(lag(a) OVER o AS BIGINT) AS z, CAST(lead(a) OVER o AS BIGINT) AS b, CAST(lead(a, 2) OVER o AS BIGINT) AS c
+              FROM state WHERE step < $steps WINDOW o AS (PARTITION BY w ORDER BY p)
+            ) s LEFT JOIN pairs i ON i.pair = s.a << 32 | s.b
+          ) n
+          LEFT JOIN pairs l ON l.pair = n.z << 32 | n.a
+          LEFT JOIN pairs r ON r.pair = n.b << 32 | n.c
+          LEFT JOIN pairs ll ON ll.pair = n.z << 32 | CAST(n.rank AS BIGINT)
+          LEFT JOIN pairs rr ON rr.pair = CAST(n.rank AS BIGINT) << 32 | n.c
+          WHERE n.least IS NOT NULL
+        )
+      )
+    )
+  )
+  WHERE NOT gone
+)
+SELECT w, p, a, step FROM state
+"""
+NONE = 1 << 30  # above all ranks
+RELATE = """
+CREATE TABLE pairs AS
+WITH m AS (SELECT pair, rank, pair >> 32 AS x, pair & 4294967295 AS y FROM merges),
+l AS (SELECT part << 32 | y AS pair, min(rank) AS below FROM m JOIN ends ON token = x GROUP BY 1),
+r AS (SELECT x << 32 | part AS pair, min(rank) AS above FROM m JOIN begins ON token = y GROUP BY 1),
+alone AS (SELECT x AS token FROM m WHERE x > rank UNION SELECT y FROM m WHERE y > rank)
+SELECT pair, rank, below, above, rank IS NOT NULL AND alone.token IS NULL AS free
+FROM l FULL JOIN r USING (pair) LEFT JOIN merges USING (pair) LEFT JOIN alone ON alone.token = rank
+"""
+
 #: The vocabulary has a letter for each byte (its code point); the letters are joined in order.
 DECODE = """
 SELECT d, array_to_string(list(letters ORDER BY p), '') AS text, count(letters) AS known, count(*) AS n
@@ -91,48 +145,62 @@ class Coder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "letters": pa.array([x.decode("latin-1") for x in self.ranks])}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
-        self.pairs: dict[tuple[int, int], int] | None = None
+        self.joined: np.ndarray | None = None
         self.forget()
 
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, ids in each): the recursive query over all of them."""
+        """(ids of all words, ids in each): recursive queries over all of them."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes)
-        place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
-        first = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        second, third = np.append(first[1:], -1), np.append(first[2:], [-1, -1])
-        second[ends - 1] = third[ends - 1] = -1
-        third[ends[sizes > 1] - 2] = -1
-        self.db.register("start", pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": place.astype(np.int32), "a": first, "b": second.astype(np.int32), "c": third.astype(np.int32)[: len(first)]}))
-        got = self.db.sql(MERGE).to_arrow_table()
-        w, p, a, step = (got.column(k).to_numpy() for k in ("w", "p", "a", "step"))
-        last = np.zeros(len(words), step.dtype)
-        np.maximum.at(last, w, step)
-        fixed = step == last[w]
-        w, p, a = w[fixed], p[fixed], a[fixed].astype(np.uint32)
-        return a[np.lexsort((p, w))], np.bincount(w, minlength=len(words))
-
-    def merge_long(self, word: bytes) -> np.ndarray:
-        """The same ids by a heap of (rank, position) over linked tokens."""
-        if self.pairs is None:
-            self.pairs = {(k >> 32, k & 0xFFFFFFFF): r for k, r in self.db.execute("SELECT pair, rank FROM merges").fetchall()}
-        pairs, ids = self.pairs, self.single[np.frombuffer(word, np.uint8)].tolist()
-        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (r := pairs.get((ids[i], ids[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
-                continue
-            ids[i], ids[j] = rank, -1
-            after[i] = after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (r := pairs.get((ids[a], ids[b]))) is not None:
-                    heapq.heappush(heap, (r, a, ids[a], ids[b]))
-        return np.array([x for x in ids if x >= 0], np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        # a word goes by the place of its first byte
+        w, a = np.repeat(starts, sizes), self.single[np.frombuffer(b"".join(words), np.uint8)]
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        query, most = MERGE, STEPPED
+        while len(w):
+            steps = max(1, min(most, STEPPED // len(w)))
+            self.db.register("start", _rows(w, a))
+            got = self.db.sql(query.replace("$steps", str(steps)).replace("$none", str(NONE))).to_arrow_table()
+            w, p, a, step = (got.column(k).to_numpy() for k in ("w", "p", "a", "step"))
+            last = np.zeros(int(w.max()) + 1, step.dtype)
+            np.maximum.at(last, w, step)
+            fixed = np.flatnonzero(step == last[w])
+            fixed = fixed[np.lexsort((p[fixed], w[fixed]))]
+            w, a = w[fixed], a[fixed].astype(np.int32)
+            cut_off = last[w] == steps
+            done.append((w[~cut_off], a[~cut_off]))
+            w, a, query, most = w[cut_off], a[cut_off], MERGE_ALL, SPLIT
+            if len(w):
+                w = self._split(w, a)
+        w, a = (np.concatenate([d[k] for d in done]) for k in (0, 1))
+        order = np.argsort(w, kind="stable")
+        return a[order].astype(np.uint32), np.diff(np.append(np.searchsorted(w[order], starts), len(w)))
+
+    def _split(self, w: np.ndarray, a: np.ndarray) -> np.ndarray:
+        """New words of rows in order: a word ends where no token can ever hold its last bytes and the next ones too."""
+        if self.joined is None:
+            self._relate()
+        key = a[:-1].astype(np.int64) << 32 | a[1:]
+        place = np.minimum(np.searchsorted(self.joined, key), len(self.joined) - 1)
+        first = np.concatenate([[True], w[1:] != w[:-1]])
+        begins = np.concatenate([[True], first[1:] | (self.joined[place] != key)])
+        size = self.sizes[a]
+        before = np.cumsum(size) - size
+        at = w + before - np.repeat(before[first], np.diff(np.append(np.flatnonzero(first), len(w))))
+        return np.repeat(at[begins], np.diff(np.append(np.flatnonzero(begins), len(w))))
+
+    def _relate(self) -> None:
+        """The table ``pairs`` of MERGE_ALL and the pairs that some token joins, made when a word first needs them."""
+        ranks = self.ranks
+        ends = [(r, ranks[x[k:]]) for x, r in ranks.items() for k in range(len(x)) if x[k:] in ranks]
+        begins = [(r, ranks[x[:k]]) for x, r in ranks.items() for k in range(1, len(x) + 1) if x[:k] in ranks]
+        for name, rows in (("ends", ends), ("begins", begins)):
+            self.db.register("given", pa.table(dict(zip(("token", "part"), np.array(rows, np.int64).T, strict=True))))
+            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self.db.execute(RELATE)
+        self.joined = self.db.sql("SELECT DISTINCT e.part << 32 | f.part AS k FROM merges JOIN ends e ON e.token = pair >> 32 JOIN begins f ON f.token = pair & 4294967295 ORDER BY k").to_arrow_table().column(0).to_numpy()
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
+        self.db.execute("DROP TABLE ends; DROP TABLE begins")
 
     def _cut(self, chunks: list[str]) -> list[list[str]]:
         """The pre-tokens of each chunk.  Chunks that begin with white space are cut as one text: a chunk's end is always a pre-token's end."""
@@ -151,21 +219,18 @@ class Coder:
         return out
 
     def _learn_words(self, words: list[str]) -> None:
-        parts, sizes, names = [self.word_flat], [np.diff(self.word_starts)], []
-        short = [x for x in words if len(x) <= LONG and len(x.encode()) <= LONG]
-        for at in range(0, len(short), WORDS):
-            ids, each = self.merge_words([x.encode() for x in short[at : at + WORDS]])
+        parts, sizes = [self.word_flat], [np.diff(self.word_starts)]
+        coded = [x.encode() for x in words]
+        upto = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        at = 0
+        while at < len(coded):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + ROWS, "right")))
+            ids, each = self.merge_words(coded[at:end])
             parts.append(ids)
             sizes.append(each)
-        names += short
-        if len(short) < len(words):
-            for x in words:
-                if len(x) > LONG or len(x.encode()) > LONG:
-                    parts.append(self.merge_long(x.encode()))
-                    sizes.append(np.array([len(parts[-1])]))
-                    names.append(x)
+            at = end
         base = len(self.words)
-        self.words.update(zip(names, range(base, base + len(names)), strict=True))
+        self.words.update(zip(words, range(base, base + len(words)), strict=True))
         self.word_flat = np.concatenate(parts)
         self.word_starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
@@ -243,6 +308,18 @@ class Coder:
         return out
 
 
+def _rows(w: np.ndarray, a: np.ndarray) -> pa.Table:
+    """The rows that a recursive query starts with: the tokens of each word (w is sorted) with their places and the two after."""
+    starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+    sizes = np.diff(np.append(starts, len(w)))
+    ends = starts + sizes
+    place = (np.arange(len(w)) - np.repeat(starts, sizes)).astype(np.int32)
+    second, third = np.append(a[1:], -1).astype(np.int32), np.append(a[2:], [-1, -1])[: len(a)].astype(np.int32)
+    second[ends - 1] = third[ends - 1] = -1
+    third[ends[sizes > 1] - 2] = -1
+    return pa.table({"w": w, "p": place, "a": a, "b": second, "c": third})
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the slices of ``flat`` at these places, one after another, and their lengths)."""
     first = starts[place]
