@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from corvid.operators.facts import rounding_conflicts, sorted_entries
-from corvid.operators.graph import closure
+from corvid.operators.graph import double_counted
 
 
 class FactQuery:
@@ -82,7 +82,8 @@ def chain(facts: DataFrame, key: Sequence[str], terms: Sequence[tuple[int, str]]
     """(key, value, missing): a signed sum over concepts, one value each; refused where one concept holds another by the arcs (a, b)."""
     if arcs is not None:
         names = [c for _, c in terms]
-        held = closure(arcs).where(F.col("a").isin(*names) & F.col("b").isin(*names)).limit(1).collect()
+        starts = facts.sparkSession.createDataFrame([(c,) for c in names], "x string")
+        held = double_counted(arcs, starts).toDF("a", "b").limit(1).collect()
         if held:
             raise ValueError(f"{held[0]['a']} holds {held[0]['b']}: the sum counts it twice")
     sign = F.create_map(*[F.lit(x) for s, c in terms for x in (c, s)])
