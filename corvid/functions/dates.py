@@ -39,9 +39,9 @@ def _atom(text: str) -> Span:
     if m := re.fullmatch(r"(\d{4})(?:Q([1-4])|-(\d\d)(?:-(\d\d))?)?", text):
         year, quarter, month, day = (int(x) if x else None for x in m.groups())
         try:
-            if day:
+            if day is not None:
                 return Span(date(year, month, day), date(year, month, day))
-            first, last = (3 * quarter - 2, 3 * quarter) if quarter else (month, month) if month else (1, 12)
+            first, last = (3 * quarter - 2, 3 * quarter) if quarter else (month, month) if month is not None else (1, 12)
             return Span(date(year, first, 1), date(year, last, calendar.monthrange(year, last)[1]))
         except ValueError as e:
             raise ValueError(f"not a date: {text!r}") from e

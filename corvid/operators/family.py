@@ -13,7 +13,7 @@ LEGAL = ("inc", "corp", "corporation", "co", "company", "llc", "ltd", "limited",
 VEHICLE = ("trust", "receivables", "funding", "securitization", "certificates", "mortgage", "pool")
 BOUNDARY = ("trust", "series", "funding", "auto", "mortgage", "receivables", "pool", "certificates")
 UMBRELLA = "a series of "
-MIN_SQUASHED, MAX_PREFIX = 8, 8
+MIN_SQUASHED = 8
 
 
 def tokens(name: Column) -> Column:
@@ -51,19 +51,21 @@ def canonical_spelling(stems: DataFrame, key: str, least: int = MIN_SQUASHED) ->
     return counted.select(key, F.when(F.length("squashed") >= least, first).otherwise(F.col(key)).alias("canonical"))
 
 
-def prefixes(words: Column, most: int | None = None) -> Column:
+def prefixes(words: Column) -> Column:
     """Every prefix of an array of words, joined by spaces."""
-    depth = F.size(words) if most is None else F.least(F.size(words), F.lit(most))
-    return F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda n: F.array_join(F.slice(words, 1, n), " "))
 
 
-def longest_prefix(names: DataFrame, key: str, name: str, known: DataFrame, stem_col: str, most: int = MAX_PREFIX) -> DataFrame:
-    """(key, sponsor): the longest known stem that shares a prefix of words with the name.  Both sides are exploded to
-    prefixes and joined by equality, so the join hashes; ties go to the least stem."""
-    mine = names.select(key, F.explode(prefixes(F.split(name, " "), most)).alias("_p"))
-    theirs = known.select(F.col(stem_col).alias("sponsor"), F.explode(prefixes(F.split(stem_col, " "))).alias("_p"))
-    best = mine.join(theirs, "_p").groupBy(key).agg(F.min(F.struct((-F.length("sponsor")).alias("n"), "sponsor")).alias("b"))
-    return best.select(key, F.col("b.sponsor").alias("sponsor"))
+def longest_prefix(names: DataFrame, key: str, name: str, known: DataFrame, stem_col: str) -> DataFrame:
+    """(key, sponsor): the longest known stem that shares a prefix of words with the name; ties go to the least stem.
+
+    Of all known stems with a prefix only the best is kept before the join, so a
+    common first word costs each name one row and not one for every stem.
+    """
+    mine = names.select(key, F.explode(prefixes(F.split(name, " "))).alias("_p"))
+    order = F.struct((-F.length(stem_col)).alias("n"), F.col(stem_col).alias("sponsor"))
+    best = known.select(order.alias("_o"), F.explode(prefixes(F.split(stem_col, " "))).alias("_p")).groupBy("_p").agg(F.min("_o").alias("_o"))
+    return mine.join(best, "_p").groupBy(key).agg(F.min("_o").alias("_o")).select(key, F.col("_o.sponsor").alias("sponsor"))
 
 
 def assign(registrants: DataFrame, key: str = "cik", name: str = "name", aliases: Mapping[str, str] | None = None) -> DataFrame:

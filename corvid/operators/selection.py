@@ -13,10 +13,17 @@ BANDS = ((0.25, "very_small"), (1.0, "small"), (4.0, "median"), (16.0, "large"),
 
 
 def size_anchors(rows: DataFrame, family: str, document: str, occurrence: str, size: str) -> DataFrame:
-    """(family, median_size) over one row a document, its first occurrence with a size."""
-    first = W.Window.partitionBy(document).orderBy(occurrence)
-    one = rows.where(F.col(size).isNotNull()).withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
-    return one.groupBy(family).agg(F.median(size).alias("median_size"))
+    """(family, median_size) over one row a document, its first occurrence with a size.
+
+    The exact median, found in a running count over each family's sizes, so no task holds a family's sizes at once.
+    """
+    first = F.min_by(F.struct(family, size), occurrence).alias("_f")
+    one = rows.where(F.col(size).isNotNull()).groupBy(document).agg(first).select("_f.*")
+    counts = one.groupBy(family, size).agg(F.count("*").alias("_n"))
+    w = W.Window.partitionBy(family).orderBy(size)
+    upto = counts.withColumns({"_upto": F.sum("_n").over(w), "_all": F.sum("_n").over(W.Window.partitionBy(family))})
+    middle = lambda k: F.min(F.when(F.col("_upto") >= k, F.col(size)))
+    return upto.groupBy(family).agg(((middle(F.ceil(F.col("_all") / 2)) + middle(F.floor(F.col("_all") / 2) + 1)) / 2).alias("median_size"))
 
 
 def size_band(size: Column, anchor: Column) -> Column:
@@ -87,19 +94,29 @@ def floor_candidates(rows: DataFrame, key: str, dimensions: Sequence[str], floor
 
 
 def water_fill(cells: Sequence[tuple[str, int, int]], budget: int) -> dict[str, int]:
-    """Additions a cell (name, filled, available) so that levels are as equal as capacity lets them be; the rest goes in order."""
-    capacity = {name: min(budget, free) for name, _, free in cells}
-    need = lambda level: sum(min(max(level - filled, 0), capacity[name]) for name, filled, _ in cells)
-    low, high = 0, max((filled + capacity[name] for name, filled, _ in cells), default=0)
-    while low < high:
-        mid = (low + high + 1) // 2
-        low, high = (mid, high) if need(mid) <= budget else (low, mid - 1)
-    out = {name: min(max(low - filled, 0), capacity[name]) for name, filled, _ in cells}
-    left = budget - sum(out.values())
+    """Additions a cell (name, filled, available) so that levels are as equal as capacity lets them be; the rest goes in order.
+
+    What a common level costs is a broken line in the level: it gets steeper where
+    a cell begins to fill and flatter where one is full.  Walking its corners
+    gives the stretch in which the budget runs out, and one division the level.
+    """
+    room = {name: max(0, min(budget, free)) for name, _, free in cells}
+    corners = sorted([(filled, 1) for _, filled, _ in cells] + [(filled + room[name], -1) for name, filled, _ in cells])
+    level = filling = 0
+    left = budget
+    for at, turn in corners:
+        if filling * (at - level) > left:
+            break
+        left -= filling * (at - level)
+        level, filling = at, filling + turn
+    whole, extra = divmod(left, filling) if filling else (0, 0)
+    level += whole
+    out = {}
     for name, filled, _ in cells:
-        if left and out[name] < capacity[name] and filled + out[name] <= low:
+        out[name] = min(max(level - filled, 0), room[name])
+        if extra and filled <= level < filled + room[name]:
             out[name] += 1
-            left -= 1
+            extra -= 1
     return out
 
 
@@ -138,14 +155,19 @@ def stratified(pool: DataFrame, key: str, cell: str, dimension: str, size: int,
     In turn: given seeds, floors of the dimension's values, equal filling of
     cells by water-filling, then the rest in draw order while no value of the
     dimension passes its share, and a reserve.  Ranks are computed in Spark;
-    the driver sees, of each cell and value, only as many candidates as could
-    be chosen (``size + reserve`` at most).
+    the driver sees one count a cell, of each cell the candidates within the
+    level that water-filling reaches (``size`` and one a cell in all), and of each
+    of the dimension's values ``size + reserve`` at most.
     """
     spark, most = pool.sparkSession, size + reserve
     drawn = pool.withColumn("_draw", draw_order(seed, key))
-    near = F.least(*[F.row_number().over(W.Window.partitionBy(c).orderBy("_draw", key)) for c in (cell, dimension)])
-    given = F.col(key).isin(*seeds) if seeds else F.lit(False)
-    rows = drawn.withColumn("_near", near).where((F.col("_near") <= most) | given).select(key, cell, dimension, "_draw").orderBy("_draw", key).collect()
+    counts = [(r[cell], 0, r["count"]) for r in pool.groupBy(cell).count().collect()]
+    # what seeds and floors fill counts towards the level, so it gets no higher than this
+    level = max(water_fill(counts, size).values(), default=0) + 1
+    rank = lambda c: F.row_number().over(W.Window.partitionBy(c).orderBy("_draw", key))
+    wanted, given = set(seeds), F.col(key).isin(*seeds) if seeds else F.lit(False)
+    near = drawn.withColumns({"_cell": rank(cell), "_value": rank(dimension)}).where((F.col("_cell") <= level) | (F.col("_value") <= most) | given)
+    rows = near.select(key, cell, dimension, "_draw").orderBy("_draw", key).collect()
     chosen: dict[object, str] = {}
     count: dict[object, int] = {}
 
@@ -154,7 +176,7 @@ def stratified(pool: DataFrame, key: str, cell: str, dimension: str, size: int,
         count[r[dimension]] = count.get(r[dimension], 0) + 1
 
     for r in rows:
-        if r[key] in set(seeds) and len(chosen) < size:
+        if r[key] in wanted and len(chosen) < size:
             take(r, "seed")
     for value, need in sorted(floors.items()):
         for r in rows:
