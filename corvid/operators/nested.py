@@ -71,3 +71,23 @@ def linkbase_kind(document_type: Column, filename: Column, description: Column)
 
 def is_exhibit(document_type: Column, filename: Column) -> Column:
     return F.startswith(F.upper(document_type), F.lit("EX-")) | F.lower(filename).rlike(r"^(?:.*[-_.])?ex[-_]?\d+[a-z0-9_.-]*\.(?:htm|html|txt|pdf)$")
+
+
+def gathered(rows: DataFrame, key: str, columns: list[str], name: str) -> DataFrame:
+    """(key, name): one array of structs a key."""
+    return rows.groupBy(key).agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
+def unnested(nested: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, ...): a row for each element of an array of structs; empty and null arrays have none."""
+    return nested.select(key, F.inline(name))
+
+
+def entries(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, key of the map, value): a row for each entry of a map column."""
+    return rows.select(F.col(key), F.explode(name).alias("key", "value"))
+
+
+def json_value(column: str, path: str, kind: str) -> Column:
+    """A field of a JSON text as this type; null where it is missing or doesn't fit."""
+    return F.get_json_object(column, path).try_cast(kind)

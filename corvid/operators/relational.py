@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,3 +90,63 @@ def with_ordinal(df: DataFrame, order: Sequence[Column], bucket: Column, name: s
     base = counts.select("_bucket", F.coalesce(F.sum("_n").over(W.Window.orderBy("_bucket").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     inside = F.row_number().over(W.Window.partitionBy("_bucket").orderBy(*order)) - 1
     return tagged.withColumn("_inside", inside).join(base, "_bucket").withColumn(name, F.col("_base") + F.col("_inside")).drop("_bucket", "_base", "_inside")
+
+
+def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a null in any key column."""
+    return df.where(reduce(or_, [F.col(k).isNull() for k in keys]))
+
+
+def uncovered(rows: DataFrame, cover: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows whose key (column of ``rows``: column of ``cover``) the other relation doesn't have."""
+    told = cover.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(on.values())])
+    return rows.join(told, reduce(and_, [F.col(r) == F.col(f"_{k}") for k, r in enumerate(on)]), "left_anti")
+
+
+def star(fact: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:
+    """``fact`` left-joined to dimensions (frame, column of the fact or of an earlier dimension, key of the dimension)."""
+    for dimension, column, key in dimensions:
+        fact = fact.join(dimension, F.col(column) == F.col(key), "left")
+    return fact
+
+
+def stacked_by_name(*frames: DataFrame) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def ordered_lookup(table: DataFrame, key: str, asked: Sequence[object]) -> DataFrame:
+    """(pos, key, ...): a row for each key asked for, in the order of the request; nulls where the table hasn't it."""
+    kind = table.schema[key].dataType.simpleString()
+    wanted = table.sparkSession.createDataFrame(list(enumerate(asked)), f"pos int, {key} {kind}")
+    return wanted.join(table.where(F.col(key).isin(*asked)), key, "left").select("pos", *table.columns)  # the keys asked for
+
+
+def index_positions(table: DataFrame, key: str, asked: Sequence[object], part_rows: int) -> DataFrame:
+    """(key, position, part, total) of the asked keys that are there: a key's place in a sorted index of distinct keys, cut into parts.
+
+    The keys below it are counted in one aggregation; nothing is sorted.
+    """
+    keys = table.select(key).distinct()
+    counts = [F.count_if(F.col(key) < F.lit(a)).alias(f"n{k}") for k, a in enumerate(asked)] + [F.max(F.col(key) == F.lit(a)).alias(f"t{k}") for k, a in enumerate(asked)]
+    one = keys.agg(F.count("*").alias("total"), *counts)
+    told = F.array(*[F.struct(F.lit(a).cast(table.schema[key].dataType).alias(key), F.col(f"n{k}").alias("position"), F.col(f"t{k}").alias("there")) for k, a in enumerate(asked)])
+    return one.select("total", F.inline(told)).where("there").select(key, "position", F.expr(f"position div {int(part_rows)}").alias("part"), "total")
+
+
+def partners(rows: DataFrame, group: str, member: str, name: str = "partner") -> DataFrame:
+    """(group, member, partner): every other member of the group, one null where there is none; groups are filings, with few members."""
+    a = rows.select(group, member).distinct()
+    b = a.select(F.col(group).alias("_g"), F.col(member).alias(name))
+    return a.join(b, (F.col(group) == F.col("_g")) & (F.col(member) != F.col(name)), "left").select(group, member, name)
+
+
+def last_of(df: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
+    """(key, value): each key's value at its last place in order; a map-side aggregation, no sort."""
+    return df.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))
+
+
+def sessions(events: DataFrame, key: str, at: str, order: Sequence[str], gap: str) -> DataFrame:
+    """(key, sessions): runs of events without a pause longer than ``gap`` (an interval)."""
+    before = F.lag(at).over(W.Window.partitionBy(key).orderBy(at, *order))
+    begun = events.withColumn("_b", before).where(F.expr(f"_b is null or {at} - _b > interval {gap}"))
+    return begun.groupBy(key).agg(F.count("*").alias("sessions"))
