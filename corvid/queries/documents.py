@@ -14,20 +14,20 @@ def html_to_text(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", D.on_text(D.html_to_text, F.col("html")).alias("text"))
 
 
-_LINES = """WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS q, CAST(l_extendedprice AS BIGINT) AS p FROM lineitem WHERE l_orderkey % 10 = 0),
+_LINES = """WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS q, CAST(l_extendedprice AS BIGINT) AS p FROM lineitem),
 r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n, q, p) - 1 AS i FROM l) """
 
 
-def _orders(spark, sf_dir, rows, line):
-    """(k, text): the lines of every order that ``rows`` keeps, one after another."""
-    li = load(spark, sf_dir, "lineitem").where(rows)
+def _orders(spark, sf_dir, line):
+    """(k, lines): the lines of every order, one after another."""
+    li = load(spark, sf_dir, "lineitem")
     made = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("bigint").alias("q"), F.round("l_extendedprice").cast("bigint").alias("p")))).alias("l"))
     return made.select("k", F.transform("l", line).alias("lines"))
 
 
-@query(_LINES.replace("CAST(l_extendedprice AS BIGINT)", "CAST(round(l_extendedprice) AS BIGINT)") + "SELECT k, 0 AS table_index, i AS row, 3 AS width, n || '|' || q || '|' || p AS cells FROM r", "l_orderkey % 10 = 0")
-def html_tables(spark, sf_dir, rows="l_orderkey % 10 = 0"):
-    pages = _orders(spark, sf_dir, rows, lambda x: F.concat(F.lit("<tr><td>"), x["n"].cast("string"), F.lit("</td><td> <b>"), x["q"].cast("string"), F.lit("</b></td><td>"), x["p"].cast("string"), F.lit("</td></tr>")))
+@query(_LINES.replace("CAST(l_extendedprice AS BIGINT)", "CAST(round(l_extendedprice) AS BIGINT)") + "SELECT k, 0 AS table_index, i AS row, 3 AS width, n || '|' || q || '|' || p AS cells FROM r")
+def html_tables(spark, sf_dir):
+    pages = _orders(spark, sf_dir, lambda x: F.concat(F.lit("<tr><td>"), x["n"].cast("string"), F.lit("</td><td> <b>"), x["q"].cast("string"), F.lit("</b></td><td>"), x["p"].cast("string"), F.lit("</td></tr>")))
     rows = lambda html: [(t, r, len(row), "|".join(x or "" for x in row)) for t, grid in enumerate(D.html_tables(html)) for r, row in enumerate(grid)]
     return D.rows_of(pages.select("k", F.concat(F.lit("<html><table>"), F.array_join("lines", "\n"), F.lit("</table>")).alias("html")), rows, "k", "html", "table_index int, row int, width int, cells string")
 
@@ -61,9 +61,9 @@ def note_spans(spark, sf_dir):
     return D.rows_of(load(spark, sf_dir, "customer").select("c_custkey", text.alias("text")), D.notes, "c_custkey", "text", "number int, heading string, start_line int, end_line int")
 
 
-@query(_LINES + "SELECT k, 1 AS first_line, count(*) + 1 AS end_line, count(*) AS rows FROM r GROUP BY k HAVING count(*) >= 3", "l_orderkey % 10 = 0")
-def table_regions(spark, sf_dir, rows="l_orderkey % 10 = 0"):
-    pages = _orders(spark, sf_dir, rows, lambda x: F.concat(F.lit("line   "), F.lpad(x["q"].cast("string"), 6, " "), F.lpad(x["p"].cast("string"), 12, " ")))
+@query(_LINES + "SELECT k, 1 AS first_line, count(*) + 1 AS end_line, count(*) AS rows FROM r GROUP BY k HAVING count(*) >= 3")
+def table_regions(spark, sf_dir):
+    pages = _orders(spark, sf_dir, lambda x: F.concat(F.lit("line   "), F.lpad(x["q"].cast("string"), 6, " "), F.lpad(x["p"].cast("string"), 12, " ")))
     return D.rows_of(pages.select("k", F.concat(F.lit("A line of prose\n"), F.array_join("lines", "\n")).alias("text")), D.table_runs, "k", "text", "first_line int, end_line int, rows int")
 
 

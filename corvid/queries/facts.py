@@ -40,10 +40,10 @@ def precedence_latest_filed(spark, sf_dir):
     return A.latest_filed(_filings(spark, sf_dir), ["entity", "period"], ["filed", "accession"]).select("accession", "entity", "period")
 
 
-@query("""WITH f AS (SELECT l_partkey AS k, l_extendedprice AS v, -(l_linenumber % 4) AS d FROM lineitem WHERE l_orderkey % 10 = 0), t AS (SELECT *, 0.5 * pow(10.0, -d) AS t FROM f)
-SELECT k, max(v - t) <= min(v + t) AS agreed, arg_min(v, (t, v)) AS value, count(*) AS n FROM t GROUP BY 1""", "l_orderkey % 10 = 0")
-def interval_conflict(spark, sf_dir, rows="l_orderkey % 10 = 0"):
-    f = load(spark, sf_dir, "lineitem").where(rows).select(F.col("l_partkey").alias("k"), F.col("l_extendedprice").alias("v"), (-(F.col("l_linenumber") % 4)).alias("d"))
+@query("""WITH f AS (SELECT l_partkey AS k, l_extendedprice AS v, -(l_linenumber % 4) AS d FROM lineitem), t AS (SELECT *, 0.5 * pow(10.0, -d) AS t FROM f)
+SELECT k, max(v - t) <= min(v + t) AS agreed, arg_min(v, (t, v)) AS value, count(*) AS n FROM t GROUP BY 1""")
+def interval_conflict(spark, sf_dir):
+    f = load(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_extendedprice").alias("v"), (-(F.col("l_linenumber") % 4)).alias("d"))
     return A.rounding_conflicts(f, ["k"], "v", "d")
 
 
@@ -63,15 +63,15 @@ def latest_period(spark, sf_dir):
     return A.latest_period(e, "event_type", "d").select("event_id", "event_type")
 
 
-@query("""WITH b AS (SELECT o_custkey AS k, o_orderkey, o_orderkey % 5 AS r, CAST(round(o_totalprice) AS BIGINT) AS v FROM orders WHERE o_custkey % 10 = 1),
+@query("""WITH b AS (SELECT o_custkey AS k, o_orderkey, o_orderkey % 5 AS r, CAST(round(o_totalprice) AS BIGINT) AS v FROM orders),
 f AS (SELECT k, r + 1 AS rung, DATE '2023-01-01' AS s, CASE r WHEN 0 THEN DATE '2023-03-31' WHEN 1 THEN DATE '2023-06-30' WHEN 2 THEN DATE '2023-09-30' WHEN 3 THEN DATE '2023-12-31' END AS e, v FROM b WHERE r < 4),
 l AS (SELECT k, s, rung, count(*) AS n, min(e) AS e, min(v) AS v FROM f GROUP BY ALL),
 d AS (SELECT l.k, coalesce(CAST(p.e + 1 AS DATE), l.s) AS start, l.e AS "end", CASE WHEN p.n IS NULL THEN 'missing leg' WHEN p.n > 1 OR l.n > 1 THEN 'ambiguous leg' END AS reason, l.v - p.v AS v
   FROM l LEFT JOIN l p ON p.k = l.k AND p.s = l.s AND p.rung = l.rung - 1 WHERE l.rung > 1)
 SELECT k, CAST(start AS VARCHAR) AS start, CAST("end" AS VARCHAR) AS "end", CASE WHEN reason IS NULL THEN v END AS value, CASE WHEN reason IS NULL THEN 'derived' ELSE 'refused' END AS status, reason FROM d
-UNION ALL SELECT k, CAST(s AS VARCHAR), CAST(e AS VARCHAR), v, 'reported', NULL FROM l WHERE rung = 1""", "o_custkey % 10 = 1")
-def quarter_unaccumulate(spark, sf_dir, rows="o_custkey % 10 = 1"):
-    o = load(spark, sf_dir, "orders").where(rows).where("o_orderkey % 5 < 4")
+UNION ALL SELECT k, CAST(s AS VARCHAR), CAST(e AS VARCHAR), v, 'reported', NULL FROM l WHERE rung = 1""")
+def quarter_unaccumulate(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").where("o_orderkey % 5 < 4")
     ends = F.element_at(F.array(*[F.to_date(F.lit(d)) for d in ("2023-03-31", "2023-06-30", "2023-09-30", "2023-12-31")]), (F.col("o_orderkey") % 5 + 1).cast("int"))
     f = o.select(F.col("o_custkey").alias("k"), F.to_date(F.lit("2023-01-01")).alias("start"), ends.alias("end"), F.round("o_totalprice").cast("bigint").alias("value"))
     out = A.discrete_quarters(f, ["k"])
@@ -111,9 +111,9 @@ def identity_check(spark, sf_dir):
 
 
 @query("""SELECT c_custkey AS entity, CASE WHEN n = 1 THEN v END AS value, CASE WHEN n IS NULL THEN 'UNAVAILABLE' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'REPORTED' END AS status FROM customer
-LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS v FROM orders WHERE o_orderkey % 20 = 0 GROUP BY 1) ON o_custkey = c_custkey""", "o_orderkey % 20 = 0")
-def panel_left_join(spark, sf_dir, rows="o_orderkey % 20 = 0"):
-    f = load(spark, sf_dir, "orders").where(rows).select(F.col("o_custkey").alias("entity"), "o_orderkey")
+LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderkey) AS v FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def panel_left_join(spark, sf_dir):
+    f = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity"), "o_orderkey")
     return A.panel(load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity")), "entity", f, "o_orderkey")
 
 
@@ -149,9 +149,9 @@ def modifier_containment(spark, sf_dir):
     return a.crossJoin(F.broadcast(asked)).where(A.is_a(F.col("mods"), F.col("w"))).select("p_partkey")  # one row asked for
 
 
-@query(f"{_ATOMS} SELECT DISTINCT x.p_partkey AS a, y.p_partkey AS b FROM (SELECT * FROM a WHERE p_partkey % 10 = 0) x JOIN (SELECT * FROM a WHERE p_partkey % 10 = 0) y ON x.head = y.head AND x.mods = y.mods AND x.p_partkey < y.p_partkey", "p_partkey % 10 = 0")
-def peer_exact_coordinate(spark, sf_dir, rows="p_partkey % 10 = 0"):
-    return A.peers(_atoms(spark, sf_dir).where(rows), "p_partkey", "head", "mods")
+@query(f"{_ATOMS} SELECT DISTINCT x.p_partkey AS a, y.p_partkey AS b FROM (SELECT * FROM a) x JOIN (SELECT * FROM a) y ON x.head = y.head AND x.mods = y.mods AND x.p_partkey < y.p_partkey")
+def peer_exact_coordinate(spark, sf_dir):
+    return A.peers(_atoms(spark, sf_dir), "p_partkey", "head", "mods")
 
 
 @query(f"""{_ATOMS}, t AS (SELECT head AS h, mods AS w FROM a WHERE p_partkey = 7) SELECT p_partkey, CASE WHEN head <> h THEN 'unrelated' WHEN x + y = 0 THEN 'exact' WHEN x + y = 1 AND (x = 0 OR y = 0) THEN 'near' ELSE 'unrelated' END AS tier

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import dates as D
 from corvid.functions import text as X
+from corvid.operators import relational as R
 from corvid.operators import selection as S
 from corvid.registry import load, query
 
@@ -62,19 +63,19 @@ def size_band_by_median(spark, sf_dir):
     return rows.join(anchors, "p_brand").groupBy("p_brand", S.size_band(F.col("l_quantity"), F.col("median_size")).alias("band")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH y AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 5 = 0), p AS (SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS nx FROM y),
+@query("""WITH y AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders), p AS (SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS nx FROM y),
 m AS (SELECT o_custkey, max(y) AS hi, count(*) AS n, coalesce(bool_or(nx - y >= 3), false) AS gap FROM p GROUP BY 1), g AS (SELECT max(y) AS last FROM y)
-SELECT o_custkey, gap AS has_revival_gap, CASE WHEN n <= 2 AND last - hi <= 2 THEN 'short_recent_history' WHEN last - hi >= 5 THEN 'ceased_filing_observed' WHEN last - hi <= 1 THEN 'right_censored_active' ELSE 'intermediate_or_dormant' END AS lifecycle_class FROM m, g""", "o_orderkey % 5 = 0")
-def lifecycle_gap(spark, sf_dir, rows="o_orderkey % 5 = 0"):
-    o = load(spark, sf_dir, "orders").where(rows).select("o_custkey", F.year("o_orderdate").alias("y"))
+SELECT o_custkey, gap AS has_revival_gap, CASE WHEN n <= 2 AND last - hi <= 2 THEN 'short_recent_history' WHEN last - hi >= 5 THEN 'ceased_filing_observed' WHEN last - hi <= 1 THEN 'right_censored_active' ELSE 'intermediate_or_dormant' END AS lifecycle_class FROM m, g""")
+def lifecycle_gap(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
     return S.lifecycle(o, "o_custkey", "y")
 
 
 @query("""SELECT l_partkey, occ, occurrences, CASE WHEN occurrences = 1 THEN 'single' WHEN occurrences <= 3 THEN 'low_2_to_3' ELSE 'high_4_plus' END AS locator_class FROM (
-SELECT l_partkey, occ, row_number() OVER w AS rn, count(*) OVER (PARTITION BY l_partkey) AS occurrences FROM (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS occ, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY l_partkey, l_suppkey)
-WINDOW w AS (PARTITION BY l_partkey ORDER BY occ)) WHERE rn = 1""", "l_orderkey % 20 = 0")
-def locator_rollup_framed_count(spark, sf_dir, rows="l_orderkey % 20 = 0"):
-    li = load(spark, sf_dir, "lineitem").where(rows).groupBy("l_partkey", "l_suppkey").agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("occ"))
+SELECT l_partkey, occ, row_number() OVER w AS rn, count(*) OVER (PARTITION BY l_partkey) AS occurrences FROM (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS occ, l_suppkey FROM lineitem GROUP BY l_partkey, l_suppkey)
+WINDOW w AS (PARTITION BY l_partkey ORDER BY occ)) WHERE rn = 1""")
+def locator_rollup_framed_count(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("occ"))
     return S.locator_rollup(li, "l_partkey", "occ").select("l_partkey", "occ", "occurrences", "locator_class")
 
 
@@ -119,11 +120,11 @@ def floor_candidates(spark, sf_dir):
     return found.groupBy("dimension", "value").agg(F.count("*").alias("candidates"), F.min("need").alias("need"))
 
 
-@query("""WITH c AS (SELECT c_mktsegment AS cell, count(*) AS n FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1), l AS (SELECT max(lv) AS lv FROM generate_series(0, 1000) t(lv) WHERE (SELECT sum(least(n, lv)) FROM c) <= 60),
+@query("""WITH c AS (SELECT c_mktsegment AS cell, count(*) AS n FROM customer GROUP BY 1), l AS (SELECT max(lv) AS lv FROM generate_series(0, 1000) t(lv) WHERE (SELECT sum(least(n, lv)) FROM c) <= 60),
 g AS (SELECT cell, least(n, lv) + CASE WHEN n > lv AND row_number() OVER (PARTITION BY n > lv ORDER BY cell) <= 60 - (SELECT sum(least(n, lv)) FROM c, l) THEN 1 ELSE 0 END AS target FROM c, l)
-SELECT c_custkey, cell FROM (SELECT c_custkey, c_mktsegment AS cell, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('s6:' || c_custkey), c_custkey) AS rn FROM customer WHERE c_custkey % 7 = 0) JOIN g USING (cell) WHERE rn <= target""", "c_custkey % 7 = 0")
-def cell_waterfill(spark, sf_dir, rows="c_custkey % 7 = 0"):
-    c = load(spark, sf_dir, "customer").where(rows).select("c_custkey", F.col("c_mktsegment").alias("cell"))
+SELECT c_custkey, cell FROM (SELECT c_custkey, c_mktsegment AS cell, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('s6:' || c_custkey), c_custkey) AS rn FROM customer) JOIN g USING (cell) WHERE rn <= target""")
+def cell_waterfill(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("cell"))
     cells = [(r["cell"], 0, r["count"]) for r in c.groupBy("cell").count().orderBy("cell").collect()]  # one row a segment
     return S.additions(c, "cell", S.water_fill(cells, 60), "s6", "c_custkey").select("c_custkey", "cell")
 
@@ -137,8 +138,7 @@ def quota_priority_fill(spark, sf_dir):
 @query("""SELECT ord - 1 AS pos, k AS c_custkey, c_name FROM (SELECT unnest([42, 7, 1000, 3]) AS k, unnest([1, 2, 3, 4]) AS ord) LEFT JOIN customer ON c_custkey = k""")
 def ordered_lookup(spark, sf_dir):
     """A keyed lookup that keeps the order of the request."""
-    asked = spark.sql("select posexplode(array(42L, 7L, 1000L, 3L)) as (pos, c_custkey)")
-    return asked.join(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", "left").select("pos", "c_custkey", "c_name")
+    return R.ordered_lookup(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", [42, 7, 1000, 3])
 
 
 @query("""SELECT p_partkey, array_to_string(regexp_extract_all(regexp_replace(regexp_replace(n, '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '[A-Za-z0-9]+'), ' ') AS words

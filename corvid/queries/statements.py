@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
+from corvid.operators import relational as R
 from corvid.operators import selection as L
 from corvid.operators import statements as Q
 from corvid.registry import load, query
+from corvid.scratch import scratch_path
 from corvid.streaming import ledger as T
 
 
@@ -19,14 +18,14 @@ def _facts(spark, sf_dir):
     return li.groupBy(F.col("l_orderkey").alias("k"), F.concat("l_returnflag", "l_linestatus").alias("concept")).agg(F.sum("l_quantity").alias("value"))
 
 
-_FACTS = "WITH f AS (SELECT l_orderkey AS k, l_returnflag || l_linestatus AS concept, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2)"
+_FACTS = "WITH f AS MATERIALIZED (SELECT l_orderkey AS k, l_returnflag || l_linestatus AS concept, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2)"
 
 
-@query("""WITH f AS (SELECT o_custkey AS e, o_orderstatus AS c, o_orderkey % 3 AS x, count(*) AS n, max(round(o_totalprice)) - min(round(o_totalprice)) <= 1 AS a, max(round(o_totalprice)) AS v FROM orders WHERE o_orderkey % 4 = 0 GROUP BY 1, 2, 3),
+@query("""WITH f AS (SELECT o_custkey AS e, o_orderstatus AS c, o_orderkey % 3 AS x, count(*) AS n, max(round(o_totalprice)) - min(round(o_totalprice)) <= 1 AS a, max(round(o_totalprice)) AS v FROM orders GROUP BY 1, 2, 3),
 p AS (SELECT * FROM f WHERE c IN ('P', 'F')), b AS (SELECT e, min(CASE c WHEN 'P' THEN 0 ELSE 1 END) AS r FROM p GROUP BY 1), o AS (SELECT p.e, c, count(*) AS n, bool_and(a) AS a, max(v) AS v FROM p JOIN b ON b.e = p.e AND r = CASE c WHEN 'P' THEN 0 ELSE 1 END GROUP BY 1, 2)
-SELECT c_custkey AS e, c AS concept, CASE WHEN a AND n = 1 THEN v END AS value, CASE WHEN n IS NULL THEN 'UNAVAILABLE' WHEN NOT a THEN 'CONFLICT' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'REPORTED' END AS status FROM customer LEFT JOIN o ON o.e = c_custkey""", "o_orderkey % 4 = 0")
-def term_status(spark, sf_dir, rows="o_orderkey % 4 = 0"):
-    o = load(spark, sf_dir, "orders").where(rows)
+SELECT c_custkey AS e, c AS concept, CASE WHEN a AND n = 1 THEN v END AS value, CASE WHEN n IS NULL THEN 'UNAVAILABLE' WHEN NOT a THEN 'CONFLICT' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'REPORTED' END AS status FROM customer LEFT JOIN o ON o.e = c_custkey""")
+def term_status(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
     f = o.select(F.col("o_custkey").alias("e"), F.col("o_orderstatus").alias("concept"), F.round("o_totalprice").alias("value"), F.lit(0).alias("decimals"), F.lit(None).cast("date").alias("start"), F.lit(None).cast("date").alias("end"), F.create_map(F.lit("x"), (F.col("o_orderkey") % 3).cast("string")).alias("dims"))
     return Q.term_status(f, load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("e")), "e", ["P", "F"])
 
@@ -89,31 +88,25 @@ def concept_search(spark, sf_dir):
 
 @query("""SELECT k AS name, min(c_custkey) AS cik FROM (VALUES ('BUILDING'), ('MACHINERY'), ('NONE')) t(k) LEFT JOIN customer ON c_mktsegment = k GROUP BY 1""")
 def ticker_lookup(spark, sf_dir):
-    asked = spark.createDataFrame([("BUILDING",), ("MACHINERY",), ("NONE",)], "name string")
     known = load(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("name")).agg(F.min("c_custkey").alias("cik"))
-    return asked.join(known, "name", "left")
+    return R.ordered_lookup(known, "name", ["BUILDING", "MACHINERY", "NONE"]).drop("pos")
 
 
 @query("""SELECT o_custkey, CAST(rn - 1 AS BIGINT) AS position, CAST((rn - 1) // 100 AS BIGINT) AS part, total FROM (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS rn, count(*) OVER () AS total FROM (SELECT DISTINCT o_custkey FROM orders)) WHERE o_custkey IN (7, 100, 1000)""")
 def sorted_index_position(spark, sf_dir):
-    """A key's place in a sorted index cut into parts of 100: the keys below it, counted in one aggregation."""
-    keys = load(spark, sf_dir, "orders").select("o_custkey").distinct()
-    asked = spark.createDataFrame([(7,), (100,), (1000,)], "a long")
-    below = keys.crossJoin(F.broadcast(asked)).groupBy("a").agg(F.count_if(F.col("o_custkey") < F.col("a")).alias("position"), F.count("*").alias("total"), F.max(F.col("o_custkey") == F.col("a")).alias("there"))  # three keys asked for
-    return below.where("there").select(F.col("a").alias("o_custkey"), "position", F.expr("position div 100").alias("part"), "total")
+    """A key's place in a sorted index cut into parts of 100."""
+    return R.index_positions(load(spark, sf_dir, "orders"), "o_custkey", [7, 100, 1000], 100)
 
 
-@query("""SELECT a.l_orderkey, a.l_suppkey AS filer, b.l_suppkey AS cofiler FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey % 20 = 0) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey""", "l_orderkey % 20 = 0")
-def cofilers(spark, sf_dir, rows="l_orderkey % 20 = 0"):
-    a = load(spark, sf_dir, "lineitem").where(rows).select("l_orderkey", F.col("l_suppkey").alias("filer")).distinct()
-    b = a.select(F.col("l_orderkey").alias("o"), F.col("filer").alias("cofiler"))
-    return a.join(b, (F.col("l_orderkey") == F.col("o")) & (F.col("filer") != F.col("cofiler")), "left").select("l_orderkey", "filer", "cofiler")
+@query("""SELECT a.l_orderkey, a.l_suppkey AS filer, b.l_suppkey AS cofiler FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) a LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey""")
+def cofilers(spark, sf_dir):
+    return R.partners(load(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey", "cofiler").withColumnRenamed("l_suppkey", "filer")
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND strftime(o_orderdate, '%Y') = '1996' GROUP BY 1")
 def filtered_latest(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.date_format("o_orderdate", "yyyy") == "1996"))
-    return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
+    o = load(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.year("o_orderdate") == 1996))
+    return R.last_of(o, "o_custkey", "o_orderkey", ["o_orderdate", "o_orderkey"])
 
 
 @query()
@@ -125,10 +118,7 @@ def stratified_selection(spark, sf_dir):
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY 1, 2")
 def ledger_stream(spark, sf_dir):
     """Events streamed into a ledger that appends unseen (user, type) pairs."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="corvid-ledger-")
-    import uuid
-
-    base = f"{root.rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "ledger")
     kind = load(spark, sf_dir, "events").schema
     events = spark.readStream.schema(kind).parquet(f"{sf_dir}/events.parquet*").select("user_id", "event_type", "event_id")
     T.feed_ledger(events, f"{base}/out", ["user_id", "event_type"], f"{base}/cp", order="event_id").awaitTermination()
@@ -137,6 +127,4 @@ def ledger_stream(spark, sf_dir):
 
 @query("SELECT user_id, count(*) AS sessions FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) WHERE b IS NULL OR ts - b > INTERVAL 12 HOUR GROUP BY 1")
 def gap_islands(spark, sf_dir):
-    w = W.Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = load(spark, sf_dir, "events").withColumn("b", F.lag("ts").over(w))
-    return e.where(F.expr("b is null or ts - b > interval 12 hours")).groupBy("user_id").agg(F.count("*").alias("sessions"))
+    return R.sessions(load(spark, sf_dir, "events"), "user_id", "ts", ["event_id"], "12 hours")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import window as W
 
 from corvid.operators import graph as G
 from corvid.operators import relational as R
 from corvid.operators import versioning as V
 from corvid.registry import load, query
+from corvid.scratch import scratch_path
 
 
 def _parts(spark, sf_dir):
@@ -79,7 +79,16 @@ def key_bounds(spark, sf_dir):
 
 @query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE l_orderkey BETWEEN 100 AND 120")
 def pruned_range_lookup(spark, sf_dir):
-    return load(spark, sf_dir, "lineitem").where("l_orderkey between 100 and 120").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    """Orders' lines published as snapshots by key range, and a range looked up in the parts that its keys meet."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    store, node = V.SnapshotStore(spark, scratch_path(spark, "snapshots")), None
+    for low, high in ((None, 90), (90, 110), (110, 1000), (1000, None)):
+        inside = (F.col("l_orderkey") >= low if low else F.lit(True)) & (F.col("l_orderkey") < high if high else F.lit(True))
+        node = store.publish({"lines": li.where(inside)}, {"lines": "l_orderkey"}, parent=node)
+    parts = store.parts("lines", node, 100, 120)
+    if len(parts) != 2:
+        raise AssertionError(f"{len(parts)} parts")
+    return R.stacked_by_name(*parts).where("l_orderkey between 100 and 120")
 
 
 @query("""SELECT user_id, event_type, min(event_id) AS event_id FROM events e WHERE event_id > 500
@@ -92,25 +101,24 @@ def ledger_append_unseen(spark, sf_dir):
 
 @query("""SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) AS event_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS sources FROM events GROUP BY user_id""")
 def events_dedupe_multi_source(spark, sf_dir):
-    e = load(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("event_type"), F.min("event_id").alias("event_id"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("sources"))
+    e = load(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    return V.dedupe_events(e, ["user_id"], "event_id", "event_type")
 
 
 @query("SELECT event_type, count(*) AS n, CAST(max(ts) AS VARCHAR)[:19] AS high FROM events GROUP BY 1")
 def ledger_stats(spark, sf_dir):
-    return load(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("high"))
+    return V.ledger_stats(load(spark, sf_dir, "events"), "event_type", "ts").withColumn("high", F.date_format("high", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("""WITH mark AS (SELECT max(ts) AS m FROM events WHERE event_id <= 600) SELECT event_id, user_id FROM events, mark WHERE event_id > 400 AND ts > m""")
 def high_water_mark(spark, sf_dir):
     e = load(spark, sf_dir, "events")
-    mark = e.where("event_id <= 600").agg(F.max("ts").alias("m"))
-    return e.where("event_id > 400").join(F.broadcast(mark), F.col("ts") > F.col("m")).select("event_id", "user_id")  # one row
+    return V.after_mark(e.where("event_id <= 600"), e.where("event_id > 400"), "ts").select("event_id", "user_id")
 
 
-@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 EXCEPT SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'""", "o_orderkey % 3 = 0")
-def late_reconcile(spark, sf_dir, rows="o_orderkey % 3 = 0"):
-    o = load(spark, sf_dir, "orders").where(rows).select("o_orderkey")
+@query("""SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'""")
+def late_reconcile(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_orderkey")
     seen = load(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     return R.new_rows(o, seen, ["o_orderkey"]).distinct()
 
@@ -120,12 +128,9 @@ p AS (SELECT o_custkey AS k, string_agg(o_orderstatus, ',' ORDER BY o_orderkey)
 SELECT coalesce(f.k, p.k) AS k, CASE WHEN p.k IS NULL THEN 'new' WHEN f.k IS NULL THEN 'removed' WHEN p.f = f.f THEN 'carried' ELSE 'changed' END AS state FROM f FULL JOIN p ON f.k = p.k""")
 def carried_rows(spark, sf_dir):
     """What a refresh carries over: keys whose ordered fingerprint didn't change."""
-    o = load(spark, sf_dir, "orders")
-    said = lambda df: df.groupBy(F.col("o_custkey").alias("k")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))), lambda x: x["o_orderstatus"]), ",").alias("f"))
-    now = said(o.join(load(spark, sf_dir, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left_semi"))
-    before = said(o.where("o_orderkey % 50 <> 0")).withColumnsRenamed({"k": "pk", "f": "pf"})
-    state = F.when(F.col("pk").isNull(), "new").when(F.col("k").isNull(), "removed").when(F.col("f") == F.col("pf"), "carried").otherwise("changed")
-    return now.join(before, F.col("k") == F.col("pk"), "full_outer").select(F.coalesce("k", "pk").alias("k"), state.alias("state"))
+    o = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderstatus")
+    now = o.join(load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "k", "left_semi")
+    return V.carried(now, o.where("o_orderkey % 50 <> 0"), "k", ["o_orderkey"], "o_orderstatus")
 
 
 # Graphs
@@ -155,7 +160,7 @@ def reachability(spark, sf_dir):
 c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON e.a = c.b) SELECT DISTINCT a AS node FROM c WHERE a = b""")
 def cycle_audit(spark, sf_dir):
     e = load(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("a"), ((F.col("o_custkey") * 7 + 3) % 40).alias("b")).where("a <> b").distinct()
-    return G.closure(e).where("a = b").select(F.col("a").alias("node"))
+    return G.on_cycles(e)
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey % 30 AS a, l_suppkey % 30 + 1 + l_partkey % 3 AS b FROM lineitem),
@@ -170,4 +175,4 @@ def antichain_pairs(spark, sf_dir):
 @query("""SELECT id AS orphan FROM (SELECT 'p' || p_partkey AS id, 'p' || (p_partkey // 10) AS parent FROM part) WHERE parent NOT IN (SELECT 'p' || p_partkey FROM part)""")
 def orphan_parents(spark, sf_dir):
     p = load(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), F.concat(F.lit("p"), F.expr("p_partkey div 10")).alias("parent"))
-    return p.join(p.select(F.col("id").alias("parent")), "parent", "left_anti").select(F.col("id").alias("orphan"))
+    return G.orphans(p).select(F.col("id").alias("orphan"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import family as Y
 from corvid.operators import nested as N
+from corvid.operators import relational as R
 from corvid.operators import viewer as V
 from corvid.registry import load, query
 
@@ -68,7 +69,7 @@ def name_stems(spark, sf_dir):
 
 
 @query(f"""{_FAMILY}, e AS (SELECT DISTINCT array_to_string(w, ' ') AS stem, w FROM s WHERE NOT list_contains(w, 'trust')), c AS (SELECT k, w[1:list_position(w, 'trust') - 1] AS w FROM s WHERE list_contains(w, 'trust')),
-a AS (SELECT k, array_to_string(w[1:i], ' ') AS p FROM c, unnest(generate_series(1, least(len(w), 8))) t(i)), b AS (SELECT stem, array_to_string(w[1:i], ' ') AS p FROM e, unnest(generate_series(1, len(w))) t(i))
+a AS (SELECT k, array_to_string(w[1:i], ' ') AS p FROM c, unnest(generate_series(1, len(w))) t(i)), b AS (SELECT stem, array_to_string(w[1:i], ' ') AS p FROM e, unnest(generate_series(1, len(w))) t(i))
 SELECT k, arg_min(stem, (-length(stem), stem)) AS sponsor FROM a JOIN b USING (p) GROUP BY k""")
 def longest_prefix_match(spark, sf_dir):
     stems = _names(spark, sf_dir).select("k", Y.stem(F.col("name")).alias("s"))
@@ -93,20 +94,19 @@ def family_assignment(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_extract(spark, sf_dir):
-    return load(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    return load(spark, sf_dir, "events").select("event_id", N.json_value("props", "$.k", "bigint").alias("k"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 3 = 0", "l_orderkey % 3 = 0")
-def nested_unnest(spark, sf_dir, rows="l_orderkey % 3 = 0"):
-    li = load(spark, sf_dir, "lineitem").where(rows)
-    nested = li.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
-    return nested.select("l_orderkey", F.inline("lines"))
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def nested_unnest(spark, sf_dir):
+    nested = N.gathered(load(spark, sf_dir, "lineitem"), "l_orderkey", ["l_linenumber", "l_quantity"], "lines")
+    return N.unnested(nested, "l_orderkey", "lines")
 
 
-@query("""WITH a AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS a, list(o_orderkey ORDER BY o_orderkey) FILTER (o_orderstatus = 'F') AS b FROM orders WHERE o_custkey % 20 = 1 GROUP BY 1)
-SELECT o_custkey, a[i] AS a, b[i] AS b FROM a, unnest(generate_series(1, greatest(len(a), coalesce(len(b), 0)))) t(i)""", "o_custkey % 20 = 1")
-def arrays_zip_pad(spark, sf_dir, rows="o_custkey % 20 = 1"):
-    o = load(spark, sf_dir, "orders").where(rows)
+@query("""WITH a AS (SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey) AS a, list(o_orderkey ORDER BY o_orderkey) FILTER (o_orderstatus = 'F') AS b FROM orders GROUP BY 1)
+SELECT o_custkey, a[i] AS a, b[i] AS b FROM a, unnest(generate_series(1, greatest(len(a), coalesce(len(b), 0)))) t(i)""")
+def arrays_zip_pad(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
     n = o.groupBy("o_custkey").agg(F.struct(F.sort_array(F.collect_list("o_orderkey")).alias("a"), F.sort_array(F.collect_list(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")))).alias("b")).alias("s"))
     return n.select("o_custkey", F.inline(N.zipped(["a", "b"], "s")))
 
@@ -114,8 +114,7 @@ def arrays_zip_pad(spark, sf_dir, rows="o_custkey % 20 = 1"):
 @query("SELECT o_custkey, o_orderstatus AS key, count(*) AS value FROM orders GROUP BY 1, 2")
 def map_explode(spark, sf_dir):
     c = load(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
-    m = c.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", "n"))).alias("m"))
-    return m.select("o_custkey", F.explode("m"))
+    return N.entries(c.groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", "n"))).alias("m")), "o_custkey", "m")
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'data_file' WHEN page_id % 4 = 1 THEN 'graphic' WHEN page_id % 4 = 2 THEN 'primary' ELSE 'exhibit' END AS role,
@@ -133,16 +132,15 @@ def attachment_classes(spark, sf_dir):
 
 @query("""SELECT n_name, o_orderstatus, count(*) AS n FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL""")
 def star_left_joins(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
-    c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").groupBy("n_name", "o_orderstatus").agg(F.count("*").alias("n"))
+    customers, nations = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    both = R.star(load(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus"), (customers, "o_custkey", "c_custkey"), (nations, "c_nationkey", "n_nationkey"))
+    return both.groupBy("n_name", "o_orderstatus").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, o_custkey, NULL AS o_orderstatus FROM orders WHERE o_orderkey % 9 = 0 UNION ALL BY NAME SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 9 = 1""")
 def union_by_name(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
-    return o.where("o_orderkey % 9 = 0").select("o_orderkey", "o_custkey").unionByName(o.where("o_orderkey % 9 = 1").select("o_orderkey", "o_orderstatus"), allowMissingColumns=True)
+    return R.stacked_by_name(o.where("o_orderkey % 9 = 0").select("o_orderkey", "o_custkey"), o.where("o_orderkey % 9 = 1").select("o_orderkey", "o_orderstatus"))
 
 
 @query("""SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, count(*) AS n

@@ -11,29 +11,17 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, *cuts: str) -> Callable[[Query], Query]:
-    """Register a query. ``cuts`` are conditions that keep a part of a table: the function takes each after its other
-    arguments, and NAME_whole is the same query, and the same SQL, without them."""
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, with its SQL where SQL can say it."""
 
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql
-        if cuts:
-            QUERIES[f"{f.__name__}_whole"] = lambda spark, sf_dir: f(spark, sf_dir, *["true"] * len(cuts))
-            ORACLES[f"{f.__name__}_whole"] = without(sql, cuts)
         return f
 
     return add
 
 
-def without(sql: str, cuts: tuple[str, ...]) -> str:
-    for cut in cuts:
-        if cut not in sql:
-            raise ValueError(f"not in the SQL: {cut}")
-        sql = sql.replace(cut, "TRUE")
-    return sql
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
