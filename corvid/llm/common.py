@@ -1,19 +1,10 @@
-"""What the operators of this subpackage share: scratch tables, table loading, batch slicing.
-
-Intermediate tables go to the folder that the cluster names in
-``spark.checkpoint.dir`` (only where it is unset on a single
-machine, as in tests, a local one is made).  A written table cuts lineage: a lost executor costs a re-read, not a
-re-computation, and every executor sees the same rows.
-"""
+"""What the operators of this subpackage share: scratch tables, table loading, batch slicing."""
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
 import sys
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,65 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver see: ``spark.checkpoint.dir``; a local one is set only where it is unset and one machine runs all."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not place:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError(f"set spark.checkpoint.dir to a folder that every machine sees: {master} has more than one")
-        place = "file://" + tempfile.mkdtemp(prefix="corvid-shared-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    return place.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; ``release`` and the end of the driver remove it."""
-    path = f"{shared_dir(spark)}/corvid/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again with the same schema."""
-    spark, schema = df.sparkSession, df.schema
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def mark() -> int:
-    """A place in the list of scratch tables, for ``release``."""
-    return len(_written)
-
-
-def release(spark: SparkSession, since: int = 0, but: tuple[str, ...] = ()) -> int:
-    """Remove this session's scratch tables, those from the mark on, without those that ``but`` names; call it when no result that reads one is needed any more."""
-    mine = [x for x in _written[since:] if x[0] is spark and not any(f"/{name}-" in x[1] for name in but)]
-    for x in mine:
-        _delete(*x)
-        _written.remove(x)
-    return len(mine)
-
-
-@atexit.register
-def _at_end() -> None:
-    for spark, path in _written:
-        try:
-            if spark.sparkContext._jsc is not None:
-                _delete(spark, path)
-        except Exception:  # noqa: BLE001  the JVM may be gone already
-            return
+from corvid.scratch import mark, release, scratch_path, shared_dir, written
 
+__all__ = ["by_bytes", "fresh", "mark", "release", "scratch_path", "shared_dir", "table", "text_of", "trim", "written"]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
