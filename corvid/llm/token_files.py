@@ -1,11 +1,13 @@
 """Token-ID output: documents in ascending id order, encoded and written as one wavelet matrix file a shard.
 
-Documents are dealt by id range and sorted inside each range, so shard order is
-id order.  A task encodes its documents, and writes a shard whenever
-``shard_tokens`` tokens are gathered: memory is bounded by the shard, not by the
-range.  Files are written beside their place and moved there, so a task that
-runs again leaves the same files.  The manifest has one row a shard; a running
-sum over it gives every shard's first token position.
+Texts are encoded where they lie, and written as packed ids (two bytes a token
+where the vocabulary allows), which take less room than the texts.  Those rows
+are dealt by id range and sorted inside each range, so shard order is id order.
+Ranges are counted by bytes.  A task writes a shard whenever ``shard_tokens``
+tokens are gathered: memory is bounded by the shard, not by the range.  Files
+are written beside their place and moved there, so a task that runs again leaves
+the same files.  The manifest has one row a shard; a running sum over it gives
+every shard's first token position.
 
 The tokenizer is the tokenizers library's.  Its own model encodes every
 distinct pre-token; texts are split at white space, distinct words encoded once
@@ -13,8 +15,8 @@ a batch, and words of Latin characters pre-split here by the tokenizer's own
 pattern (the library's normalizer and pre-tokenizer do any other word).
 
 Defined results: a null or empty text is the end id alone; null ids come first;
-rows that repeat an id are all written, ordered by text; an empty table writes
-no shard.
+rows that repeat an id are all written, ordered by a hash of their ids; an empty
+table writes no shard; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from corvid.llm.common import by_bytes, scratch_path, table, text_of, trim, written
-from corvid.llm.wavelet import WaveletMatrix, from_bytes, to_bytes
+from corvid.llm.wavelet import WaveletMatrix, from_bytes, opened, to_bytes
 
 END = 1
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, bytes long"
@@ -72,6 +74,7 @@ class WordEncoder:
         added = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
         self.odd = re.compile("|".join([f"[^\x21-\x7e\xa1-{chr(PLAIN - 1)}]", *added]))  # the library finds its added tokens in a text
         self.letters = _byte_letters()
+        self.width = 2 if max(self.whole.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4  # bytes of a packed id
         self.forget()
 
     def forget(self) -> None:
@@ -150,9 +153,24 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder.replace("file:///", "/").replace("file:/", "/") if folder.startswith("file:") else folder)
 
 
+def _pack(tokenizer: str) -> Callable:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer)
+        for batch in by_bytes(batches):
+            tokens, sizes = with_ends(*encoder.encode(batch.column("text")), END)
+            ends = np.cumsum(sizes, dtype=np.int64) * encoder.width
+            offsets = pa.py_buffer(np.concatenate([[0], ends]))
+            data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, offsets, pa.py_buffer(tokens.astype(f"<u{encoder.width}"))])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), data.cast(pa.binary())], names=["id", "row", "ids"])
+        encoder.forget()
+        trim()
+
+    return pack
+
+
 def _write(folder: str, tokenizer: str, shard_tokens: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        width, part, seq = _encoder(tokenizer).width, TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def shard() -> pa.RecordBatch:
@@ -170,33 +188,37 @@ def _write(folder: str, tokenizer: str, shard_tokens: int) -> Callable:
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("bytes", pa.int64())]))
 
         count = 0
-        for batch in by_bytes(batches):
-            tokens, sizes = with_ends(*encoder.encode(batch.column("text")), END)
-            held.append((tokens, sizes, batch.column("id").to_numpy(zero_copy_only=False)))
+        for batch in by_bytes(batches, "ids"):
+            packed = batch.column("ids")
+            sizes = pc.binary_length(packed).to_numpy().astype(np.int64) // width
+            tokens = np.frombuffer(b"".join(packed.to_pylist()), f"<u{width}").astype(np.uint32)
+            held.append((tokens, sizes, batch.column("id").to_numpy()))
             count += len(tokens)
             if count >= shard_tokens:
                 count = 0
                 yield shard()
         if held:
             yield shard()
-        encoder.forget()
         trim()
 
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 8192, shard_tokens: int = 4_000_000) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 8 << 20, shard_tokens: int = 4_000_000) -> DataFrame:
     """Write the shards under ``folder`` and return the manifest: (part, seq, path, n_docs, n_tokens, bytes, start).
 
-    Ids must be integers; a null id is written as the smallest integer.
+    Ids must be integers; a null id is written as the smallest integer.  ``range_bytes``: packed ids of one task.
     """
     spark = docs.sparkSession
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(folder)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), text_of(text_col).alias("text"))
-    ranges = max(1, -(-docs.select(f"`{id_col}`").count() // rows_per_range))
-    dealt = rows.repartitionByRange(ranges, "id").sortWithinPartitions("id", "text")
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), F.monotonically_increasing_id().alias("row"), text_of(text_col).alias("text"))
+    packed = written(rows.mapInArrow(_pack(tokenizer), "id long, row long, ids binary"), "packed")
+    ranges = -(-(packed.agg(F.sum(F.length("ids").cast("long"))).first()[0] or 1) // range_bytes)
+    # rows that repeat an id are told apart too, so that no id makes a range hot
+    order = ["id", F.xxhash64("ids"), "row"]
+    dealt = packed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("row")
     manifest = written(dealt.mapInArrow(_write(folder, tokenizer, shard_tokens), MANIFEST), "manifest")
     before = W.Window.orderBy("part", "seq").rowsBetween(W.Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))  # one row a shard
@@ -219,10 +241,19 @@ def _read(folder: str) -> Callable:
     return read
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """(id, start, n_tokens, crc32) of every document, from the files: one task reads a file at a time."""
-    files = written(manifest.select("path", "start"), "files")
-    return files.repartition(max(1, files.count())).mapInArrow(_read(folder), READ)
+def read_token_files(manifest: DataFrame, folder: str, task_bytes: int = 64 << 20) -> DataFrame:
+    """(id, start, n_tokens, crc32) of every document, from the files; a task reads one file after another, ``task_bytes`` of them or so."""
+    files = written(manifest.select("path", "start", "bytes"), "files")
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(n, max(2 * files.sparkSession.sparkContext.defaultParallelism, -(-size // task_bytes))))
+    return files.repartition(tasks).mapInArrow(_read(folder), READ)
+
+
+def token_at(folder: str, path: str, position: int) -> int:
+    """One token of a shard, read from the blocks that hold its bits."""
+    fs, _ = _open(folder)
+    with fs.open_input_file(path) as file:
+        return opened(file)[0].access(position)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:

@@ -6,66 +6,77 @@ sequence being stably parted by that bit (zeros first) before the next plane.
 Access, rank (how often a token occurs before a position), select (where its
 k-th occurrence is), counting and listing occurrences need the planes only.
 
-File: magic ``CWM1``, a little-endian uint32 length and a JSON header, then the
-alphabet (uint32), document ids (int64), document lengths (uint32) and each
-plane (packed bits, little-endian in a byte), every part a zstd frame whose
-length stands in the header.
+File: magic ``CWM2``, a little-endian uint32 length and a JSON header (token
+count, zeros of each plane, block size, part lengths), then zstd frames: the
+alphabet (uint32), document ids (int64), document lengths (uint32), the rank
+directory (uint32: for each plane and block, the ones before the block and the
+length of its frame), and the blocks of each plane (packed bits, little-endian
+in a byte).  ``opened`` reads header, alphabet and directory, and of the planes
+only the blocks that a question needs: one block a plane for an access or rank.
 """
 
 from __future__ import annotations
 
+import functools
+import io
 import json
 import struct
+from collections.abc import Callable
+from typing import BinaryIO
 
 import numpy as np
 import zstandard
 
-MAGIC = b"CWM1"
-BLOCK = 512  # bits between the samples of a plane's rank directory
+MAGIC = b"CWM2"
+BLOCK = 1 << 16  # bits between the samples of a plane's rank directory, and in a frame
 
 
 class Plane:
-    """One bit vector with rank and select."""
+    """One bit vector with rank and select: ``samples`` are the ones before each block, ``block`` gives the bytes of a block."""
 
-    def __init__(self, packed: np.ndarray, n: int):
-        self.packed, self.n, self._samples = packed, n, None
+    def __init__(self, n: int, samples: np.ndarray, block: Callable[[int], np.ndarray]):
+        self.n, self.samples, self.block = n, samples, block
+
+    @classmethod
+    def of(cls, packed: np.ndarray, n: int) -> Plane:
+        size = BLOCK // 8
+        ones = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), size), dtype=np.int64) if len(packed) else np.zeros(0, np.int64)
+        return cls(n, np.concatenate([[0], np.cumsum(ones)]), lambda k: packed[k * size : (k + 1) * size])
 
     @property
-    def samples(self) -> np.ndarray:
-        """Ones before each block; made when rank or select is first asked for."""
-        if self._samples is None:
-            padded = np.zeros(-(-max(self.n, 1) // BLOCK) * (BLOCK // 8), np.uint8)
-            padded[: len(self.packed)] = self.packed
-            ones = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
-            self._samples = np.concatenate([[0], np.cumsum(ones)])
-        return self._samples
+    def blocks(self) -> int:
+        return -(-self.n // BLOCK)
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate([self.block(k) for k in range(self.blocks)]) if self.n else np.zeros(0, np.uint8)
 
     def bits(self) -> np.ndarray:
-        return np.unpackbits(self.packed, count=self.n, bitorder="little").view(bool)
+        return np.unpackbits(self.packed(), count=self.n, bitorder="little").view(bool)
 
     def get(self, i: int) -> int:
-        return int(self.packed[i >> 3]) >> (i & 7) & 1
+        return int(self.block(i // BLOCK)[i % BLOCK >> 3]) >> (i & 7) & 1
 
     def rank1(self, i: int) -> int:
         """Ones among the first i bits."""
-        block = i // BLOCK
-        part = self.packed[block * (BLOCK // 8) : (i + 7) // 8]
-        inside = i - block * BLOCK
-        return int(self.samples[block]) + int(np.unpackbits(part, bitorder="little")[:inside].sum()) if inside else int(self.samples[block])
+        k, inside = divmod(i, BLOCK)
+        ones = int(self.samples[k])
+        if inside:
+            block = self.block(k)
+            ones += int(np.bitwise_count(block[: inside >> 3]).sum(dtype=np.int64))
+            if inside & 7:
+                ones += (int(block[inside >> 3]) & (1 << (inside & 7)) - 1).bit_count()
+        return ones
 
     def rank(self, bit: int, i: int) -> int:
         return self.rank1(i) if bit else i - self.rank1(i)
 
     def select(self, bit: int, k: int) -> int:
-        """The position of the k-th (from 0) such bit."""
-        low, high = 0, self.n
-        while low < high:
-            mid = (low + high) // 2
-            if self.rank(bit, mid + 1) <= k:
-                low = mid + 1
-            else:
-                high = mid
-        return low
+        """The position of the k-th (from 0) such bit: its block by the directory, then its place inside."""
+        starts = np.arange(len(self.samples), dtype=np.int64) * BLOCK
+        before = self.samples if bit else starts - self.samples
+        at = int(np.searchsorted(before[: self.blocks], k, "right")) - 1
+        inside = np.unpackbits(self.block(at), count=min(BLOCK, self.n - at * BLOCK), bitorder="little")
+        return at * BLOCK + int(np.flatnonzero(inside == bit)[k - int(before[at])])
 
 
 class WaveletMatrix:
@@ -82,7 +93,7 @@ class WaveletMatrix:
         planes, zeros = [], []
         for level in range(max(0, len(alphabet) - 1).bit_length() - 1, -1, -1):
             bit = (row & place.dtype.type(1 << level)).astype(bool)
-            planes.append(Plane(np.packbits(bit, bitorder="little"), len(row)))
+            planes.append(Plane.of(np.packbits(bit, bitorder="little"), len(row)))
             low, high = np.compress(~bit, row), np.compress(bit, row)
             zeros.append(len(low))
             row = np.concatenate([low, high])
@@ -153,21 +164,48 @@ class WaveletMatrix:
 def to_bytes(matrix: WaveletMatrix, ids: np.ndarray, lengths: np.ndarray, level: int = 1) -> bytes:
     """The file image of a shard: documents ``ids`` of ``lengths`` tokens each, in this order."""
     press = zstandard.ZstdCompressor(level=level).compress
-    parts = [press(x.tobytes()) for x in (matrix.alphabet.astype("<u4"), ids.astype("<i8"), lengths.astype("<u4"), *[p.packed for p in matrix.planes])]
-    header = json.dumps({"n": matrix.n, "zeros": matrix.zeros, "parts": [len(p) for p in parts]}).encode()
-    return b"".join([MAGIC, struct.pack("<I", len(header)), header, *parts])
+    frames = [[press(p.block(k).tobytes()) for k in range(p.blocks)] for p in matrix.planes]
+    directory = [np.stack([p.samples[: p.blocks], list(map(len, f))]) for p, f in zip(matrix.planes, frames, strict=True)]
+    parts = [press(x.tobytes()) for x in (matrix.alphabet.astype("<u4"), ids.astype("<i8"), lengths.astype("<u4"), np.array(directory, "<u4"))]
+    header = json.dumps({"n": matrix.n, "zeros": matrix.zeros, "block": BLOCK, "parts": [len(p) for p in parts]}).encode()
+    return b"".join([MAGIC, struct.pack("<I", len(header)), header, *parts, *[f for plane in frames for f in plane]])
+
+
+def opened(file: BinaryIO, documents: bool = False) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
+    """(matrix, document ids, their lengths) of an open file that can seek; the two arrays are empty unless ``documents``."""
+    unpress = zstandard.ZstdDecompressor().decompress
+    head = file.read(8)
+    if head[:4] != MAGIC:
+        raise ValueError("not a wavelet matrix file")
+    header = json.loads(file.read(struct.unpack("<I", head[4:])[0]))
+    if header["block"] != BLOCK:
+        raise ValueError(f"blocks of {header['block']} bits")
+    n, levels = header["n"], len(header["zeros"])
+    at = file.tell()
+    starts = [at + sum(header["parts"][:k]) for k in range(5)]
+
+    def part(k: int, kind: str) -> np.ndarray:
+        file.seek(starts[k])
+        return np.frombuffer(unpress(file.read(header["parts"][k])), kind)
+
+    alphabet = part(0, "<u4")
+    ids, lengths = (part(1, "<i8"), part(2, "<u4")) if documents else (np.empty(0, "<i8"), np.empty(0, "<u4"))
+    blocks = -(-n // BLOCK)
+    directory = part(3, "<u4").astype(np.int64).reshape(levels, 2, blocks)
+    ends = starts[4] + np.cumsum(directory[:, 1].ravel()).reshape(levels, blocks)
+
+    def plane(k: int) -> Plane:
+        @functools.lru_cache(4)
+        def block(b: int) -> np.ndarray:
+            size = int(directory[k, 1, b])
+            file.seek(int(ends[k, b]) - size)
+            return np.frombuffer(unpress(file.read(size)), np.uint8)
+
+        return Plane(n, np.append(directory[k, 0], n - header["zeros"][k]), block)
+
+    return WaveletMatrix(alphabet, [plane(k) for k in range(levels)], header["zeros"], n), ids, lengths
 
 
 def from_bytes(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
-    if data[:4] != MAGIC:
-        raise ValueError("not a wavelet matrix file")
-    (size,) = struct.unpack_from("<I", data, 4)
-    header = json.loads(data[8 : 8 + size])
-    at, parts = 8 + size, []
-    press = zstandard.ZstdDecompressor()
-    for n in header["parts"]:
-        parts.append(press.decompress(data[at : at + n]))
-        at += n
-    alphabet, ids, lengths = np.frombuffer(parts[0], "<u4"), np.frombuffer(parts[1], "<i8"), np.frombuffer(parts[2], "<u4")
-    planes = [Plane(np.frombuffer(p, np.uint8), header["n"]) for p in parts[3:]]
-    return WaveletMatrix(alphabet, planes, header["zeros"], header["n"]), ids, lengths
+    """(matrix, document ids, their lengths) of a whole file image."""
+    return opened(io.BytesIO(data), documents=True)
