@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -458,22 +459,94 @@ def classify(text: str, packs: Sequence[Evidence], priority: Sequence[str] = (),
 
 
 def partition_kind(values: Mapping[str, float], total: float, arcs: Sequence[tuple[str, str]] = (), tolerance: float = 0.5, most: int = 18) -> str:
-    """How members of an axis meet a total: CLEAN, NESTED (a member holds others), OVERLAPPING (an exact subset sums up), OVER_UNEXPLAINED or INCOMPLETE."""
+    """How members of an axis meet a total: CLEAN, NESTED (a member holds others), OVERLAPPING (an exact subset sums up), OVER_UNEXPLAINED or INCOMPLETE.
+
+    Subsets are searched in two halves; beyond twice ``most`` members that is too much, and the answer is OVER_UNDECIDED.
+    """
     inner = {child for parent, child in arcs if parent in values and child in values}
     top = {m: v for m, v in values.items() if m not in inner}
     if abs(sum(top.values()) - total) <= tolerance:
         return "NESTED" if inner else "CLEAN"
     if sum(top.values()) < total:
         return "INCOMPLETE"
-    if len(top) <= most:
-        sums = {0.0}
-        for v in top.values():
-            sums |= {s + v for s in sums}
-            if len(sums) > 1 << most:
-                break
-        if any(abs(s - total) <= tolerance for s in sums):
-            return "OVERLAPPING"
-    return "OVER_UNEXPLAINED"
+    if len(top) > 2 * most:
+        return "OVER_UNDECIDED"
+    parts = list(top.values())
+    halves = [np.zeros(1), np.zeros(1)]
+    for k, v in enumerate(parts):
+        halves[k % 2] = np.concatenate([halves[k % 2], halves[k % 2] + v])
+    one, two = np.sort(halves[0]), halves[1]
+    near = np.searchsorted(one, total - tolerance - two)
+    return "OVERLAPPING" if (one[np.minimum(near, len(one) - 1)] + two <= total + tolerance)[near < len(one)].any() else "OVER_UNEXPLAINED"
+
+
+# The whole document
+
+
+@dataclass(frozen=True)
+class Normalized:
+    """A document's text with what was found on the way; spans are lines from 1, the end included."""
+
+    kind: str
+    text: str
+    cover: tuple[int, int]
+    contents: tuple[int, int] | None
+    sections: tuple[tuple[str, str, int, int], ...]
+    notes: tuple[tuple[int, str, int, int], ...]
+
+
+_CHECKED = {"☒": "[X]", "☑": "[X]", "þ": "[X]", "☐": "[ ]", "¨": "[ ]"}
+_CLOSING = re.compile(r"^\s*(signatures?|pursuant to the requirements of the securities exchange act)\b", re.IGNORECASE)
+
+
+def normalize_document(data: bytes, phrases: Sequence[Sequence[str]] = ()) -> Normalized:
+    """A document in one ordered pass: decoded, taken to text by its kind, page furniture out, checkmarks spelled, white space and split
+    phrases mended; the cover ends where the contents or the first item begins; the body between cover and closing is reflowed; then
+    sections and notes are read from what came out.  Empty bytes give an empty text."""
+    kind, text = representation(data)
+    if kind == "html":
+        text = html_to_text(text)
+    text = strip_pages(text)
+    for mark, said in _CHECKED.items():
+        text = text.replace(mark, said)
+    lines = [re.sub(r"[^\S\n\t]", " ", x).rstrip() for x in text.split("\n")]
+    if phrases:
+        lines = heal_lines(lines, phrases)
+    text = re.sub(r"\n{4,}", "\n\n\n", "\n".join(lines)).strip("\n")
+    lines = text.split("\n")
+    contents, found = toc_span(text), sections(text)
+    first = min([k for k in (contents[0] if contents else None, found[0][2] - 1 if found else None) if k is not None], default=len(lines) if not found else 0)
+    body = contents[1] + 1 if contents else first
+    closing = max((k for k in range(body, len(lines)) if _CLOSING.match(lines[k])), default=len(lines))
+    # headings stay lines of their own: each section's lines are reflowed by themselves
+    heads = sorted({body, closing, *[a - 1 for _, _, a, _ in found if body <= a - 1 < closing]})
+    parts = lines[:body]
+    for a, b in zip(heads, heads[1:], strict=False):
+        titled = a in {x - 1 for _, _, x, _ in found}
+        parts += ([lines[a]] if titled else []) + reflow("\n".join(lines[a + titled : b])).split("\n")
+    text = "\n".join([*parts, *lines[closing:]]) if len(heads) > 1 else "\n".join(lines)
+    told = toc_span(text)
+    return Normalized(kind, text, (1, first), (told[0] + 1, told[1] + 1) if told else None, tuple(sections(text)), tuple(notes(text)))
+
+
+def normalize_documents(docs: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, kind, text, cover_end, sections, notes, error) of a column of bytes or text; a document that can't be read is a row with its error."""
+    spans = "array<struct<label:string,heading:string,start_line:int,end_line:int>>"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for k, data in zip(frame[key], frame[content], strict=True):
+                try:
+                    n = normalize_document(data.encode() if isinstance(data, str) else bytes(data or b""))
+                    told = [[{"label": str(x[0]), "heading": x[1], "start_line": x[2], "end_line": x[3]} for x in some] for some in (n.sections, n.notes)]
+                    out.append((k, n.kind, n.text, n.cover[1], *told, None))
+                except ValueError as e:
+                    out.append((k, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=[key, "kind", "text", "cover_end", "sections", "notes", "error"], dtype=object)
+
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, kind string, text string, cover_end int, sections {spans}, notes {spans}, error string"
+    return docs.select(key, content).mapInPandas(run, schema)
 
 
 # Rendering by form

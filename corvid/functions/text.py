@@ -144,3 +144,8 @@ def alternation(words: Sequence[str]) -> str:
         return body + "?" if "" in node else body
 
     return write(trie)
+
+
+def strip_jurisdiction(name: Column) -> Column:
+    """A name without a jurisdiction after it: ``/DE/``, ``/NY``, ``(Delaware)`` or ``\\DE\\`` at the end."""
+    return F.trim(F.regexp_replace(F.trim(name), r"(?:\s*[/\\][A-Z]{2}[/\\]?|\s*\([A-Z][A-Za-z ]{2,30}\))$", ""))

@@ -116,6 +116,46 @@ def identity(facts: DataFrame, key: Sequence[str], concept: str, value: str, plu
     return complete.select(*key, computed.alias("computed"), F.col(total).alias("reported"), (F.abs(computed - F.col(total)) <= tolerance * F.greatest(F.abs(F.col(total)), F.lit(1.0))).alias("holds"))
 
 
+def eps_identity(facts: DataFrame, key: Sequence[str], income: str, shares: str, eps: str, decimals: str) -> DataFrame:
+    """(key, computed, reported, holds): income over shares against earnings a share, at the precision it is printed with;
+    keys without all three, or without shares, are left out."""
+    names = [income, shares, eps]
+    one = facts.where(F.col("concept").isin(*names)).groupBy(*key).agg(*[F.max(F.when(F.col("concept") == n, F.col("value"))).alias(f"_{k}") for k, n in enumerate(names)], F.max(F.when(F.col("concept") == eps, F.col(decimals))).alias("_d"))
+    whole = one.where(F.col("_0").isNotNull() & (F.col("_1") != 0) & F.col("_2").isNotNull())
+    computed = F.col("_0") / F.col("_1")
+    # half a unit of the last printed place, and a hair for the division
+    near = F.abs(computed - F.col("_2")) <= 0.5 * F.pow(F.lit(10.0), -F.coalesce("_d", F.lit(2))) * (1 + 1e-9)
+    return whole.select(*key, computed.alias("computed"), F.col("_2").alias("reported"), near.alias("holds"))
+
+
+def stitched_year(quarters: DataFrame, annuals: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, year, quarter, ttm, derived): trailing sums over four quarters in a row, stitched from different filings.
+
+    ``quarters`` (key, year, quarter, value, filed) and ``annuals`` (key, year, value, filed): of a period that several filings tell,
+    the last filed counts; a year's single missing quarter is its annual value less the other three (``derived`` counts such legs).
+    """
+    def last(df: DataFrame, at: Sequence[str]) -> DataFrame:
+        return df.groupBy(*key, *at).agg(F.max_by("value", F.struct("filed", "value")).alias("value"))
+
+    q, a = last(quarters, ["year", "quarter"]), last(annuals, ["year"])
+    years = q.groupBy(*key, "year").agg(F.count("*").alias("_n"), F.sum("value").alias("_s"), (10 - F.sum("quarter")).alias("quarter"))
+    made = years.where("_n = 3").join(a, [*key, "year"]).select(*key, "year", "quarter", (F.col("value") - F.col("_s")).alias("value"), F.lit(1).alias("_d"))
+    legs = q.withColumn("_d", F.lit(0)).unionByName(made).withColumn("_p", F.col("year") * 4 + F.col("quarter"))
+    w = W.Window.partitionBy(*key).orderBy("_p").rowsBetween(-3, W.Window.currentRow)
+    whole = (F.count("value").over(w) == 4) & (F.col("_p") - F.min("_p").over(w) == 3)
+    return legs.select(*key, "year", "quarter", F.when(whole, F.sum("value").over(w)).alias("ttm"), F.when(whole, F.sum("_d").over(w)).alias("derived"))
+
+
+def normalized(facts: DataFrame) -> DataFrame:
+    """Facts (concept, value, unit, start, end, dims, ...) with their place in the cube: ``period`` (instant, quarter, half, nine_months,
+    year or other), ``unit_class`` (money, shares, money_per_share, pure or other) and ``slice`` (the sorted axes and members as text)."""
+    days = F.date_diff("end", "start") + 1
+    period = F.when(F.col("start").isNull(), "instant").when(days.between(75, 105), "quarter").when(days.between(160, 200), "half").when(days.between(250, 295), "nine_months").when(days.between(340, 380), "year").otherwise("other")
+    unit = F.lower(F.element_at(F.split(F.coalesce("unit", F.lit("")), ":"), -1))
+    kind = F.when(F.col("unit").rlike("^(iso4217:)?[A-Z]{3}$"), "money").when(unit == "shares", "shares").when(unit.rlike("^[a-z]{3}(/|per)shares?$"), "money_per_share").when(unit.isin("pure", "percent", ""), "pure").otherwise("other")
+    return facts.withColumns({"period": period, "unit_class": kind, "slice": F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("dims", F.create_map().cast("map<string,string>")))), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")})
+
+
 def dimension_rollup(facts: DataFrame, key: Sequence[str], member: str, value: str, tolerance: float = 0.15) -> DataFrame:
     """(key, members, total, holds): the sum over members against the fact without a member."""
     sums = facts.groupBy(*key).agg(F.sum(F.when(F.col(member).isNotNull(), F.col(value))).alias("members"), F.max(F.when(F.col(member).isNull(), F.col(value))).alias("total"))
@@ -164,9 +204,13 @@ def equivalence_tier(head_a: Column, mods_a: Column, head_b: Column, mods_b: Col
 
 
 def peers(rows: DataFrame, entity: str, head: str, modifiers: str) -> DataFrame:
-    """(a, b): entities that share a coordinate exactly, each pair once; joined through distinct coordinates of an entity."""
+    """(entity, class_id, peers): entities that share a coordinate are one class, named by its least entity; ``peers`` are the others in it.
+
+    Pairs aren't made: they grow with the square of a class, and the class tells them all.
+    """
     at = rows.select(entity, F.concat_ws("|", head, F.array_join(F.array_sort(modifiers), ",")).alias("_c")).distinct()
-    return at.select(F.col(entity).alias("a"), "_c").join(at.select(F.col(entity).alias("b"), "_c"), "_c").where("a < b").select("a", "b").distinct()
+    classes = at.groupBy("_c").agg(F.min(entity).alias("class_id"), (F.count("*") - 1).alias("peers"))
+    return at.join(classes, "_c").select(entity, "class_id", "peers")
 
 
 def collocations(tokens: DataFrame, words: str, min_count: int = 2, min_pmi: float = 0.5) -> DataFrame:

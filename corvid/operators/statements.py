@@ -12,6 +12,7 @@ from pyspark.sql import window as W
 
 from corvid.operators.facts import rounding_conflicts, sorted_entries
 from corvid.operators.graph import double_counted
+from corvid.scratch import written
 
 
 class FactQuery:
@@ -115,6 +116,26 @@ def derive_totals(facts: DataFrame, arcs: DataFrame, key: Sequence[str]) -> Data
     return facts.select(*key, "concept", "value", F.lit("REPORTED").alias("status")).unionByName(made)
 
 
+def evaluate_totals(facts: DataFrame, arcs: DataFrame, key: Sequence[str], tolerance: float = 1.0, most: int = 32) -> DataFrame:
+    """(key, concept, value, status) over any number of hops: REPORTED facts; totals that their children, reported or derived, confirm
+    (VERIFIED) or deny (CONFLICT); and totals that aren't reported but whose children all are known (DERIVED).
+
+    Each round derives the totals whose children the last one made known, until none is new.
+    """
+    known = written(facts.groupBy(*key, "concept").agg(F.max("value").alias("value")).withColumn("status", F.lit("REPORTED")), "totals")
+    for _ in range(most):
+        sums = rollup(known, arcs, key, tolerance).where("children = expected")
+        made = written(sums.where("reported is null").select(*key, F.col("parent").alias("concept"), F.col("computed").alias("value"), F.lit("DERIVED").alias("status")), "totals")
+        if made.isEmpty():
+            break
+        known = written(known.unionByName(made), "totals")
+    else:
+        raise ValueError(f"totals still follow after {most} rounds: the arcs have a cycle")
+    told = sums.where("reported is not null").select(*key, F.col("parent").alias("concept"), F.col("holds"))
+    status = F.when(F.col("status") == "DERIVED", "DERIVED").when(F.col("holds"), "VERIFIED").when(~F.col("holds"), "CONFLICT").otherwise("REPORTED")
+    return known.join(told, [*key, "concept"], "left").select(*key, "concept", "value", status.alias("status"))
+
+
 def quarantine(facts: DataFrame, arcs: DataFrame, key: Sequence[str], tolerance: float = 1.0) -> DataFrame:
     """Children of broken totals, with the hypothesis that explains the gap: sign (twice a child), scale (a power of ten off), or none."""
     broken = rollup(facts, arcs, key, tolerance).where("reported is not null and children = expected and not holds").withColumn("gap", F.col("computed") - F.col("reported"))

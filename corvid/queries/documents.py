@@ -71,3 +71,17 @@ def table_regions(spark, sf_dir):
 def lexical_classify(spark, sf_dir):
     packs = [D.Evidence("license", (D.Tier(3, ("all rights reserved", "licensed under")), D.Tier(1, ("license", "copyright")))), D.Evidence("secret", (D.Tier(2, ("token", "password")),))]
     return D.rows_of(load(spark, sf_dir, "documents"), lambda t: [D.classify(t, packs, ("license", "secret"))], "doc_id", "text", "label string, score int, confidence double")
+
+
+@query()
+def normalized_documents(spark, sf_dir):
+    n = D.normalize_documents(load(spark, sf_dir, "pages"), "page_id", "html")
+    return n.select("page_id", "kind", F.length("text").alias("chars"), F.size("sections").alias("sections"), "error")
+
+
+@query(r"""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN c_name WHEN 2 THEN c_name ELSE c_name || ' /x/' END AS name FROM customer""")
+def jurisdictions(spark, sf_dir):
+    c = load(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 4
+    said = F.concat("c_name", F.when(k == 0, " /DE/").when(k == 1, " (Delaware)").when(k == 2, "/NY").otherwise(" /x/"))
+    return c.select("c_custkey", X.strip_jurisdiction(said).alias("name"))

@@ -149,7 +149,7 @@ def modifier_containment(spark, sf_dir):
     return a.crossJoin(F.broadcast(asked)).where(A.is_a(F.col("mods"), F.col("w"))).select("p_partkey")  # one row asked for
 
 
-@query(f"{_ATOMS} SELECT DISTINCT x.p_partkey AS a, y.p_partkey AS b FROM (SELECT * FROM a) x JOIN (SELECT * FROM a) y ON x.head = y.head AND x.mods = y.mods AND x.p_partkey < y.p_partkey")
+@query(f"{_ATOMS} SELECT p_partkey, min(p_partkey) OVER (PARTITION BY head, mods) AS class_id, count(*) OVER (PARTITION BY head, mods) - 1 AS peers FROM a")
 def peer_exact_coordinate(spark, sf_dir):
     return A.peers(_atoms(spark, sf_dir), "p_partkey", "head", "mods")
 
@@ -160,3 +160,35 @@ def equivalence_tiers(spark, sf_dir):
     a = _atoms(spark, sf_dir)
     target = a.where("p_partkey = 7").select(F.col("head").alias("h"), F.col("mods").alias("w"))
     return a.crossJoin(F.broadcast(target)).select("p_partkey", A.equivalence_tier(F.col("h"), F.col("w"), F.col("head"), F.col("mods")).alias("tier"))  # one target
+
+
+@query("""WITH f AS (SELECT l_orderkey AS k, sum(l_extendedprice) AS i, sum(l_quantity) AS s, round(sum(l_extendedprice) / sum(l_quantity), CAST(l_orderkey % 3 AS INT)) + CASE WHEN l_orderkey % 4 = 0 THEN 0.7 ELSE 0 END AS e, l_orderkey % 3 AS d FROM lineitem GROUP BY l_orderkey)
+SELECT k, round(i / s, 3) AS computed, round(e, 3) AS reported, abs(i / s - e) <= 0.5 * pow(10.0, -d) * (1 + 1e-9) AS holds FROM f""")
+def eps_identity(spark, sf_dir):
+    one = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("i"), F.sum("l_quantity").alias("s"))
+    d = (F.col("k") % 3).cast("int")
+    printed = F.when(d == 0, F.round(F.col("i") / F.col("s"), 0)).when(d == 1, F.round(F.col("i") / F.col("s"), 1)).otherwise(F.round(F.col("i") / F.col("s"), 2)) + F.when(F.col("k") % 4 == 0, 0.7).otherwise(0.0)
+    told = F.array(*[F.struct(F.lit(c).alias("concept"), v.cast("double").alias("value")) for c, v in (("Income", F.col("i")), ("Shares", F.col("s")), ("EPS", printed))])
+    facts = one.select("k", d.alias("decimals"), F.inline(told))
+    return A.eps_identity(facts, ["k"], "Income", "Shares", "EPS", "decimals").withColumns({"computed": F.round("computed", 3), "reported": F.round("reported", 3)})
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, year(o_orderdate) AS y, quarter(o_orderdate) AS q, CAST(round(o_totalprice) AS BIGINT) AS v, o_orderkey AS filed FROM orders),
+l AS (SELECT k, y, q, arg_max(v, (filed, v)) AS v FROM o WHERE filed % 9 <> 0 GROUP BY ALL), a AS (SELECT k, y, arg_max(v * 4, (filed, v)) AS v FROM o GROUP BY ALL),
+m AS (SELECT l.k, l.y, 10 - sum(q) AS q, max(a.v) - sum(l.v) AS v FROM l JOIN a ON a.k = l.k AND a.y = l.y GROUP BY l.k, l.y HAVING count(*) = 3),
+s AS (SELECT k, y, q, v, 0 AS d FROM l UNION ALL SELECT k, y, q, v, 1 FROM m),
+w AS (SELECT *, count(v) OVER x AS n, y * 4 + q - min(y * 4 + q) OVER x AS span, sum(v) OVER x AS t, sum(d) OVER x AS ds FROM s WINDOW x AS (PARTITION BY k ORDER BY y * 4 + q ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))
+SELECT k, y AS year, CAST(q AS BIGINT) AS quarter, CASE WHEN n = 4 AND span = 3 THEN CAST(t AS BIGINT) END AS ttm, CASE WHEN n = 4 AND span = 3 THEN CAST(ds AS BIGINT) END AS derived FROM w""")
+def ttm_stitched(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), F.round("o_totalprice").cast("bigint").alias("value"), F.col("o_orderkey").alias("filed"))
+    return A.stitched_year(o.where("filed % 9 <> 0"), o.withColumn("value", F.col("value") * 4), ["k"]).withColumn("quarter", F.col("quarter").cast("bigint"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 'instant' WHEN d BETWEEN 75 AND 105 THEN 'quarter' WHEN d BETWEEN 160 AND 200 THEN 'half' WHEN d BETWEEN 250 AND 295 THEN 'nine_months' WHEN d BETWEEN 340 AND 380 THEN 'year' ELSE 'other' END AS period,
+CASE event_id % 5 WHEN 0 THEN 'money' WHEN 1 THEN 'shares' WHEN 2 THEN 'money_per_share' WHEN 3 THEN 'pure' ELSE 'other' END AS unit_class, 'a=' || json_extract_string(props, '$.k') || ';b=' || event_type AS slice FROM (SELECT *, event_id % 400 + 1 AS d FROM events)""")
+def fact_cube(spark, sf_dir):
+    e = load(spark, sf_dir, "events")
+    units = F.element_at(F.array(*[F.lit(u) for u in ("iso4217:USD", "xbrli:shares", "usdPerShare", "pure", "utr:kWh")]), (F.col("event_id") % 5 + 1).cast("int"))
+    end = F.lit("2024-01-01").cast("date")
+    f = e.select("event_id", units.alias("unit"), F.when(F.col("event_id") % 2 == 0, F.date_sub(end, (F.col("event_id") % 400).cast("int"))).alias("start"), end.alias("end"), F.create_map(F.lit("b"), F.col("event_type"), F.lit("a"), F.get_json_object("props", "$.k")).alias("dims"))
+    return A.normalized(f).select("event_id", "period", "unit_class", "slice")

@@ -128,3 +128,11 @@ def ledger_stream(spark, sf_dir):
 @query("SELECT user_id, count(*) AS sessions FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) WHERE b IS NULL OR ts - b > INTERVAL 12 HOUR GROUP BY 1")
 def gap_islands(spark, sf_dir):
     return R.sessions(load(spark, sf_dir, "events"), "user_id", "ts", ["event_id"], "12 hours")
+
+
+@query(f"""{_FACTS}, p AS (SELECT k, max(value) FILTER (concept = 'RF') AS rf, max(value) FILTER (concept = 'AF') AS af, max(value) FILTER (concept = 'NF') AS nf, max(value) FILTER (concept = 'NO') AS no FROM f GROUP BY 1),
+c AS (SELECT k, rf + af AS r FROM p WHERE rf IS NOT NULL AND af IS NOT NULL), t AS (SELECT p.k, coalesce(p.no, 0) AS no, r FROM p JOIN c USING (k) WHERE p.no IS NOT NULL)
+SELECT k, concept, value, 'REPORTED' AS status FROM f UNION ALL SELECT k, 'RETURNED', r, 'DERIVED' FROM c UNION ALL SELECT k, 'ALL', r + no, 'DERIVED' FROM t UNION ALL SELECT k, 'TWICE', 2 * (r + no), 'DERIVED' FROM t""")
+def totals_over_hops(spark, sf_dir):
+    arcs = spark.createDataFrame([("RETURNED", "RF", 1.0), ("RETURNED", "AF", 1.0), ("ALL", "RETURNED", 1.0), ("ALL", "NO", 1.0), ("TWICE", "ALL", 2.0)], "parent string, child string, weight double")
+    return Q.evaluate_totals(_facts(spark, sf_dir), arcs, ["k"])

@@ -53,10 +53,20 @@ FAMILIES: dict[str, Family] = {
     "prospectus": Family(r"(424B\d?|425|497.*|FWP)", labels=COVER),
     "tender": Family(r"SC TO-[ICT].*|SC 14D9.*", labels=COVER),
     "notice": Family(r"(NT .*|15-.*|15F.*|SD|DRS.*|CORRESP|UPLOAD)", labels=COVER),
+    "asset_pool": Family(r"(10-D|10-DS?K?|ABS-15G|ABS DD-15E)(/A)?", ("assets", "repurchaseRequest"), COVER),
+    "foreign_notice": Family(r"F-N(/A)?", labels=COVER),
+    "supplement": Family(r"(SUPPL|497K?|497AD|485[AB]POS|485BXT)(/A)?", labels=COVER),
     "fund_report": Family(r"(N-CSRS?|N-Q|NSAR-.*|N-30D).*", labels=COVER),
 }
 
 
+def register_family(name: str, family: Family) -> None:
+    """Add a family, or put one in another's place; it is tried before those that are there."""
+    rest = {k: v for k, v in FAMILIES.items() if k != name}
+    FAMILIES.clear()
+    FAMILIES.update({name: family, **rest})
+
+
 def family_of(form: str) -> str:
     code = re.sub(r"[\s]+", " ", (form or "").strip().upper())
     return next((name for name, f in FAMILIES.items() if re.fullmatch(f.forms, code)), "other")
@@ -107,14 +117,15 @@ def parse_xml_form(data: bytes, family: str) -> list[tuple[str, int, dict[str, s
 def parse_text_form(text: str, family: str) -> list[tuple[str, int, dict[str, str]]]:
     """``header`` with the cover's labelled values, then ``item`` and ``table`` rows with their lines."""
     labels = FAMILIES[family].labels if family in FAMILIES else ()
-    cover = "\n".join(text.split("\n")[:200])
+    found = sections(text)
+    cover = "\n".join(text.split("\n")[: found[0][2] - 1]) if found else text  # all of it before the first item
     header = {}
     for label in labels:
         pattern = r"\s+".join(map(re.escape, label.split()))
         if m := re.search(rf"(?i){pattern}\s*[:.]?[ \t]*([^\n:]*\S)", cover):
             header[label] = " ".join(m[1].split()).strip(" :._")
     out = [("header", 0, header)]
-    out += [("item", k, {"item": i, "heading": h, "start_line": str(a), "end_line": str(b)}) for k, (i, h, a, b) in enumerate(sections(text), 1)]
+    out += [("item", k, {"item": i, "heading": h, "start_line": str(a), "end_line": str(b)}) for k, (i, h, a, b) in enumerate(found, 1)]
     out += [("table", k, {"start_line": str(a + 1), "end_line": str(b), "rows": str(n)}) for k, (a, b, n) in enumerate(table_runs(text), 1)]
     return out
 
@@ -148,6 +159,52 @@ def form_rows(docs: DataFrame, key: str, form: str, content: str) -> DataFrame:
     return docs.select(key, form, content).mapInPandas(run, f"{key} {docs.schema[key].dataType.simpleString()}, {ROWS}")
 
 
+#: The schemas' fields that are rows' columns, by family and row element: (column, path of the field, type).
+TYPED: dict[tuple[str, str], tuple[tuple[str, str, str], ...]] = {
+    ("holdings", "infoTable"): (
+        ("issuer", "nameOfIssuer", "string"), ("class_title", "titleOfClass", "string"), ("cusip", "cusip", "string"), ("value", "value", "decimal(24,2)"),
+        ("shares", "shrsOrPrnAmt/sshPrnamt", "decimal(24,4)"), ("share_kind", "shrsOrPrnAmt/sshPrnamtType", "string"), ("put_call", "putCall", "string"),
+        ("discretion", "investmentDiscretion", "string"), ("vote_sole", "votingAuthority/Sole", "bigint"), ("vote_shared", "votingAuthority/Shared", "bigint"), ("vote_none", "votingAuthority/None", "bigint"),
+    ),
+    ("ownership", "nonDerivativeTransaction"): (
+        ("security", "securityTitle/value", "string"), ("transacted", "transactionDate/value", "date"), ("code", "transactionCoding/transactionCode", "string"),
+        ("shares", "transactionAmounts/transactionShares/value", "decimal(24,4)"), ("price", "transactionAmounts/transactionPricePerShare/value", "decimal(24,6)"),
+        ("acquired", "transactionAmounts/transactionAcquiredDisposedCode/value", "string"), ("held_after", "postTransactionAmounts/sharesOwnedFollowingTransaction/value", "decimal(24,4)"),
+        ("direct", "ownershipNature/directOrIndirectOwnership/value", "string"),
+    ),
+    ("ownership", "derivativeTransaction"): (
+        ("security", "securityTitle/value", "string"), ("exercise_price", "conversionOrExercisePrice/value", "decimal(24,6)"), ("transacted", "transactionDate/value", "date"),
+        ("code", "transactionCoding/transactionCode", "string"), ("shares", "transactionAmounts/transactionShares/value", "decimal(24,4)"), ("expires", "expirationDate/value", "date"),
+        ("underlying", "underlyingSecurity/underlyingSecurityTitle/value", "string"), ("underlying_shares", "underlyingSecurity/underlyingSecurityShares/value", "decimal(24,4)"),
+    ),
+    ("portfolio", "invstOrSec"): (
+        ("name", "name", "string"), ("lei", "lei", "string"), ("title", "title", "string"), ("cusip", "cusip", "string"), ("balance", "balance", "decimal(30,8)"), ("units", "units", "string"),
+        ("currency", "curCd", "string"), ("value_usd", "valUSD", "decimal(30,8)"), ("percent", "pctVal", "double"), ("payoff", "payoffProfile", "string"), ("asset_kind", "assetCat", "string"), ("country", "invCountry", "string"),
+    ),
+    ("proposed_sale", "securitiesInformation"): (
+        ("class_title", "securitiesClassTitle", "string"), ("broker", "brokerOrMarketmakerDetails/name", "string"), ("units", "noOfUnitsSold", "decimal(24,4)"), ("market_value", "aggregateMarketValue", "decimal(24,2)"),
+        ("outstanding", "noOfUnitsOutstanding", "decimal(24,4)"), ("sale_date", "approxSaleDate", "string"), ("exchange", "securitiesExchangeName", "string"),
+    ),
+}
+
+
+def typed_rows(rows: DataFrame, key: str, family: str, kind: str) -> DataFrame:
+    """(key, ordinal, ...): rows of ``form_rows`` of one family and element, with their fields as typed columns; what doesn't fit is null."""
+    from pyspark.sql import functions as F
+
+    mine = rows.where((F.col("family") == family) & (F.col("kind") == kind))
+    return mine.select(key, "ordinal", *[F.try_element_at("fields", F.lit(path)).try_cast(as_).alias(name) for name, path, as_ in TYPED[family, kind]])
+
+
+def earnings(rows: DataFrame, key: str) -> DataFrame:
+    """(key, start_line, end_line): current reports that announce results, by their item 2.02."""
+    from pyspark.sql import functions as F
+
+    item = F.try_element_at("fields", F.lit("item"))
+    line = lambda name: F.try_element_at("fields", F.lit(name)).cast("int").alias(name)
+    return rows.where((F.col("family") == "current") & (F.col("kind") == "item") & (item == "2.02")).select(key, line("start_line"), line("end_line"))
+
+
 def family_counts(rows: DataFrame) -> DataFrame:
     """(family, kind, documents, rows, failed): the summary of a review run."""
     from pyspark.sql import functions as F
