@@ -480,6 +480,70 @@ def partition_kind(values: Mapping[str, float], total: float, arcs: Sequence[tup
     return "OVERLAPPING" if (one[np.minimum(near, len(one) - 1)] + two <= total + tolerance)[near < len(one)].any() else "OVER_UNEXPLAINED"
 
 
+# Pages set by position
+
+_STYLE = re.compile(r"(left|top)\s*:\s*(-?[\d.]+)(px|pt|in|cm|mm)?", re.IGNORECASE)
+#: Points in a unit of length; a pixel is three quarters.
+_POINTS = {"pt": 1.0, "px": 0.75, "in": 72.0, "cm": 72 / 2.54, "mm": 72 / 25.4, "": 0.75}
+
+
+class _Placed(HTMLParser):
+    """Texts with the place that their nearest positioned elements add up to, by page."""
+
+    VOID = frozenset(["br", "img", "hr", "input", "meta", "link", "col", "area", "base", "wbr"])
+
+    def __init__(self):
+        super().__init__()
+        self.open: list[tuple[str, float, float, bool]] = []
+        self.found: list[tuple[int, float, float, str]] = []
+        self.page = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.VOID:
+            return
+        style = dict(attrs).get("style") or ""
+        x, y, placed = self.open[-1][1:] if self.open else (0.0, 0.0, False)
+        if re.search(r"page-break-(before|after)\s*:\s*always", style, re.IGNORECASE):
+            self.page += 1
+        if re.search(r"position\s*:\s*absolute", style, re.IGNORECASE):
+            at = {m[1].lower(): float(m[2]) * _POINTS[(m[3] or "").lower()] for m in _STYLE.finditer(style)}
+            x, y, placed = x + at.get("left", 0.0), y + at.get("top", 0.0), True
+        self.open.append((tag, x, y, placed))
+
+    def handle_endtag(self, tag):
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                return
+
+    def handle_data(self, data):
+        said = " ".join(data.split())
+        if said and self.open and self.open[-1][3]:
+            self.found.append((self.page, self.open[-1][2], self.open[-1][1], said))
+
+
+def positioned_text(html: str, line: float = 4.0, letter: float = 5.0) -> str:
+    """The lines of a page whose fragments are placed one by one: fragments within ``line`` points of each other's height are one
+    line, set at their column (``letter`` points a character); pages are parted by a blank line.  Empty where nothing is placed."""
+    reader = _Placed()
+    reader.feed(html)
+    out: list[str] = []
+    rows: list[tuple[int, float, list[tuple[float, str]]]] = []
+    for page, top, left, said in sorted(reader.found, key=lambda f: f[:3]):
+        if rows and rows[-1][0] == page and top - rows[-1][1] <= line:
+            rows[-1][2].append((left, said))
+        else:
+            rows.append((page, top, [(left, said)]))
+    for k, (page, _, parts) in enumerate(rows):
+        if k and rows[k - 1][0] != page:
+            out.append("")
+        text = ""
+        for left, said in sorted(parts, key=lambda p: p[0]):
+            text = text.ljust(max(round(left / letter), len(text) + bool(text))) + said
+        out.append(text.rstrip())
+    return "\n".join(out)
+
+
 # The whole document
 
 
@@ -505,7 +569,8 @@ def normalize_document(data: bytes, phrases: Sequence[Sequence[str]] = ()) -> No
     sections and notes are read from what came out.  Empty bytes give an empty text."""
     kind, text = representation(data)
     if kind == "html":
-        text = html_to_text(text)
+        # a page set by position has no order of its own
+        text = positioned_text(text) if len(re.findall(r"(?i)position\s*:\s*absolute", text)) >= 20 else html_to_text(text)
     text = strip_pages(text)
     for mark, said in _CHECKED.items():
         text = text.replace(mark, said)

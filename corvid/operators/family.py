@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from corvid.functions.text import strip_jurisdiction
+
 #: Vocabularies of this engine; callers may give their own.
 LEGAL = ("inc", "corp", "corporation", "co", "company", "llc", "ltd", "limited", "lp", "plc", "sa", "ag", "nv", "the")
 VEHICLE = ("trust", "receivables", "funding", "securitization", "certificates", "mortgage", "pool")
@@ -26,6 +28,23 @@ def stem(name: Column, legal: Sequence[str] = LEGAL) -> Column:
     return F.array_join(plain, " ")
 
 
+#: This engine's own short forms; callers may give theirs.
+SHORT = {"intl": "international", "natl": "national", "assoc": "association", "mfg": "manufacturing", "svcs": "services", "hldgs": "holdings", "hldg": "holding", "bancorp": "bancorporation", "mtg": "mortgage", "fin": "financial", "grp": "group", "tr": "trust"}
+ORDINALS = {"1st": "first", "2nd": "second", "3rd": "third", "4th": "fourth", "5th": "fifth", "6th": "sixth", "7th": "seventh", "8th": "eighth", "9th": "ninth", "10th": "tenth"}
+
+
+def normalized_name(name: Column, legal: Sequence[str] = LEGAL, short: Mapping[str, str] = SHORT) -> Column:
+    """A name to compare by: no jurisdiction after it, ordinals and short forms spelled out, ``u s`` joined, plurals of more than
+    four letters without their s, legal forms dropped from the end only."""
+    words = tokens(F.regexp_replace(strip_jurisdiction(name), r"(?i)\bu\.?\s?s\.?(?=\W|$)", "us"))
+    told = F.create_map(*[F.lit(x) for kv in {**ORDINALS, **short}.items() for x in kv])
+    full = F.transform(words, lambda w: F.coalesce(told[w], w))
+    one = F.transform(full, lambda w: F.when((F.length(w) > 4) & w.rlike("[^s]s$"), F.substr(w, F.lit(1), F.length(w) - 1)).otherwise(w))
+    # legal forms count only where nothing else comes after them
+    last = F.array_max(F.filter(F.transform(one, lambda w, i: F.when(~w.isin(*legal), i)), lambda x: x.isNotNull()))
+    return F.array_join(F.slice(one, 1, F.coalesce(last + 1, F.size(one))), " ")
+
+
 def has_marker(key: Column, vehicle: Sequence[str] = VEHICLE) -> Column:
     return F.arrays_overlap(F.split(key, " "), F.array(*[F.lit(v) for v in vehicle]))
 

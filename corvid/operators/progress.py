@@ -7,13 +7,14 @@ anew only what changed and carries the rest over.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.operators.relational import latest
-from corvid.operators.versioning import carried
+from corvid.operators.versioning import SnapshotStore, carried
+from corvid.scratch import written
 
 KIND = "key string, status string, at timestamp, detail string"
 
@@ -58,3 +59,14 @@ def refreshed(now: DataFrame, before: DataFrame, features: DataFrame, key: str,
     states = carried(now, before, key, order, value)
     anew = compute(now.join(states.where("state in ('new', 'changed')").select(key), key, "left_semi"))
     return anew.unionByName(features.join(states.where("state = 'carried'").select(key), key, "left_semi"))
+
+
+def publish_run(store: SnapshotStore, journal: Journal, relations: Mapping[str, DataFrame], keys: Mapping[str, str], expected: DataFrame, branch: str = "main", allow_failures: bool = False) -> str:
+    """Publish what a run made, with its outcomes as the relation ``outcomes``, on the branch's present tip; ValueError while expected
+    keys have no outcome, or where some failed and that isn't allowed."""
+    states = written(journal.states(), "outcomes")
+    missing = expected.join(states.select(F.col("key").alias(expected.columns[0])), expected.columns[0], "left_anti").count()
+    failed = states.where("status <> 'done'").count()
+    if missing or (failed and not allow_failures):
+        raise ValueError(f"{missing} keys without an outcome, {failed} that aren't done")
+    return store.publish({**relations, "outcomes": states}, {**keys, "outcomes": "key"}, branch, store.tip(branch))

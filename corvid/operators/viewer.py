@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import threading
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -111,8 +111,11 @@ def validate_snapshot_query(sql: str) -> str:
     return body
 
 
-def run_guarded(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], limit: int = MAX_ROWS, timeout_s: float = 15.0, max_bytes: int = MAX_BYTES) -> tuple[list[Row], bool]:
-    """(rows, cut off): a read-only statement over named views, stopped at a row, byte or time limit."""
+def run_guarded(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], limit: int = MAX_ROWS, timeout_s: float = 15.0, max_bytes: int = MAX_BYTES, offset: int = 0) -> tuple[list[Row], bool]:
+    """(rows, more): a read-only statement over named views from row ``offset`` on, stopped at a row, byte or time limit.
+
+    Pages fit together where the statement orders its rows; a page that was cut off by bytes goes on at ``offset`` plus its rows.
+    """
     body = validate_snapshot_query(sql)
     if match := re.match(r"(?is)pragma\s+table_info\s*\(\s*'?(\w+)'?\s*\)$", body):
         body = f"DESCRIBE {match[1]}"
@@ -123,7 +126,8 @@ def run_guarded(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], l
     timer = threading.Timer(timeout_s, spark.sparkContext.cancelJobGroup, [group])
     timer.start()
     try:
-        rows = spark.sql(body).limit(limit + 1).collect()
+        found = spark.sql(body)
+        rows = (found.offset(offset) if offset else found).limit(limit + 1).collect()
     finally:
         timer.cancel()
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
@@ -136,6 +140,17 @@ def run_guarded(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], l
     return kept, len(kept) < len(rows)
 
 
+def result_pages(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], size: int, **limits: float) -> Iterator[list[Row]]:
+    """The pages of a statement, one after another, until it is told whole; each is a run of its own, so none is held."""
+    at, more = 0, True
+    while more:
+        rows, more = run_guarded(spark, sql, views, size, offset=at, **limits)
+        if more and not rows:
+            raise SqlGuardError(f"row {at} alone is larger than a page may be")
+        at += len(rows)
+        yield rows
+
+
 def keys_in(df: DataFrame, column: str, keys: Sequence[object], inline: int = 32) -> DataFrame:
     """Rows whose key is asked for: a list of up to ``inline`` keys in the scan, else a semi-join that Spark may broadcast."""
     if len(keys) <= inline:

@@ -12,13 +12,17 @@ from pyspark.sql import types as T
 
 from corvid import queries as own
 from corvid.functions import documents as O
+from corvid.functions import payload as Z
 from corvid.functions import tables as B
 from corvid.functions import text as X
+from corvid.operators import family as Y
 from corvid.operators import planning as P
 from corvid.operators import progress as J
 from corvid.operators import search as S
 from corvid.operators import selection as L
 from corvid.operators import statements as Q
+from corvid.operators import versioning as V
+from corvid.operators import viewer as W
 from corvid.sources import archives as A
 from corvid.sources import forms as M
 
@@ -230,6 +234,57 @@ def test_strip_jurisdiction(spark):
     assert df.where(X.strip_jurisdiction(F.col("a")) != F.col("b")).count() == 0
 
 
+def test_publish_run(spark, tmp_path):
+    journal, units = J.Journal(spark, f"{tmp_path}/j"), spark.range(3).select(F.col("id").cast("string").alias("u"))
+    store, made = V.SnapshotStore(spark, f"{tmp_path}/s"), spark.range(5).toDF("k")
+    journal.record(J.outcomes(units.where("u <> '2'"), "u", lambda df: df.withColumn("bad", F.when(F.col("u") == "1", "x")), "bad"))
+    with pytest.raises(ValueError, match="1 keys without an outcome, 1 "):
+        J.publish_run(store, journal, {"r": made}, {"r": "k"}, units)
+    journal.record(J.outcomes(units.where("u = '2'"), "u", lambda df: df.withColumn("bad", F.lit(None).cast("string")), "bad"))
+    node = J.publish_run(store, journal, {"r": made}, {"r": "k"}, units, allow_failures=True)
+    assert store.tip() == node and store.parts("r", node)[0].count() == 5 and store.parts("outcomes", node)[0].count() == 3
+
+
+def test_result_pages(spark):
+    views = {"corvid_numbers": spark.range(23).toDF("k")}
+    pages = list(W.result_pages(spark, "SELECT k FROM corvid_numbers ORDER BY k", views, 10))
+    assert [len(p) for p in pages] == [10, 10, 3] and [r["k"] for p in pages for r in p] == list(range(23))
+    assert [len(p) for p in W.result_pages(spark, "SELECT k FROM corvid_numbers WHERE k < 0", views, 10)] == [0]
+    with pytest.raises(W.SqlGuardError):
+        list(W.result_pages(spark, "DROP TABLE corvid_numbers", views, 10))
+
+
+def test_payload(spark):
+    df = spark.createDataFrame([("",), ("é" * 5000,), (None,)], "t string")
+    frames = df.select("t", Z.compressed(F.col("t")).alias("z"))
+    assert frames.where("length(z) > 200").count() == 0
+    assert rows(frames.select("t", Z.decompressed(F.col("z")).cast("string").alias("u")).where("not t <=> u")) == []
+
+
+def test_positioned_text():
+    order = random.Random(9)
+    cells = [(page, row, column) for page in range(2) for row in range(6) for column in range(4)]
+    order.shuffle(cells)
+    html, at = "<html><body>", 0
+    for page in range(2):
+        html += f'<div style="position:absolute; left:10px; top:{page and 5}pt{"; page-break-before: always" if page else ""}">'
+        for p, row, column in cells:
+            if p == page:
+                html += f'<span style="position:absolute;left:{column}in;top:{row * 12 + order.random()}pt">p{p}r{row}<b>c{column}</b></span>'
+        html += "</div>"
+    lines = O.positioned_text(html + "</body></html>").split("\n")
+    assert [line.replace(" ", "") for line in lines] == ["".join(f"p{p}r{r}c{c}" for c in range(4)) for p in range(2) for r in range(6) if True][:6] + [""] + ["".join(f"p1r{r}c{c}" for c in range(4)) for r in range(6)]
+    assert len({line.index("c1") if "c1" in line else None for line in lines if line}) == 1
+    assert O.positioned_text("<p>plain</p>") == ""
+    assert O.normalize_document((html + "</body></html>").encode()).text.lstrip().startswith("p0r0")
+
+
+def test_normalized_name(spark):
+    said = {"1st Natl Banks of the U.S., Inc. /DE/": "first national bank of the us", "Intl Mfg Svcs Co": "international manufacturing service", "The Company Store LLC": "the company store", "Glass Works Ltd": "glass work", "": "", "Inc": "inc"}
+    df = spark.createDataFrame(list(said), "string")
+    assert {r[0]: r[1] for r in df.select("value", Y.normalized_name(F.col("value"))).collect()} == said
+
+
 # Queries that SQL can't say
 
 
