@@ -13,7 +13,8 @@ Work is done on distinct fingerprints, so copies cost nothing.  Inside a bucket
 only a spanning forest of its links is emitted, never all pairs.  A bucket of
 more than ``LIMIT`` fingerprints is dealt again by the same covering over the
 bits its mask left free, until it is small; a bucket on few free bits is small
-because its members are distinct.  Components are found by alternating
+because its members are distinct.  Hot buckets are found on a sample and dealt
+again where their rows lie, so that no task gathers one.  Components are found by alternating
 large-star and small-star steps on DataFrames, each written to the shared folder.
 
 Defined results: a null or empty text has fingerprint zero and is linked like
@@ -29,11 +30,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import by_bytes, fresh, table, text_of, written
+from corvid.llm.common import by_bytes, fresh, table, text_of, trim, written
 
 RADIUS = 4
 VECTORS = (1 << (RADIUS + 1)) - 1
@@ -72,15 +73,16 @@ def _fingerprints(size: int) -> Callable:
         for batch in by_bytes(batches):
             texts = batch.column("text").cast(pa.binary())
             prints = np.fromiter((majority(shingle_hashes(t.as_py() or b"", size)) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("id", "row", "sha")], pa.array(prints.view(np.int64))], names=["id", "row", "sha", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(prints.view(np.int64))], names=["id", "row", "print"])
+        trim()
 
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(id, row, sha, print): the SimHash as a signed 64-bit integer, beside the hash of the whole text."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"), F.sha2(text_of(text_col), 256).alias("sha"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(size), T.StructType([*rows.schema.fields[:3], T.StructField("print", T.LongType())]))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, row: Column | None = None) -> DataFrame:
+    """(id, row, print): the SimHash as a signed 64-bit integer; ``row`` tells rows apart."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), (F.monotonically_increasing_id() if row is None else row).alias("row"), text_of(text_col).alias("text"))
+    return rows.mapInArrow(_fingerprints(size), T.StructType([*rows.schema.fields[:2], T.StructField("print", T.LongType())]))
 
 
 # Covering masks
@@ -189,18 +191,47 @@ def _search(limit: int) -> Callable:
 LINKS = "a long, b long, bucket long, free long, print long"
 
 
-def links(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column ``print``), enough to connect every pair within the radius."""
-    first = submasks(FULL)
-    family = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m"), F.lit(_signed(~m & FULL)).alias("free")) for t, m in enumerate(first)])
-    level = prints.select("print", F.inline(family)).select(F.xxhash64("t", F.col("print").bitwiseAND(F.col("m"))).alias("bucket"), "free", "print")
+def _family(free: int) -> Column:
+    """The covering family over ``free`` as an array of (t, m, free): the mask and the bits that it leaves free."""
+    return F.array(*[F.struct(F.lit(t).alias("t"), F.lit(_signed(m)).alias("m"), F.lit(_signed(free & ~m & FULL)).alias("free")) for t, m in enumerate(submasks(free))])
+
+
+def _hot(level: DataFrame, hot_rows: int, seed: int = 42) -> DataFrame | None:
+    """(bucket, free) of the buckets that hold about ``hot_rows`` fingerprints or more, by a sample of a level; None where there can be none.
+
+    A bucket that the sample misses is dealt again by its own task, so the sample decides who works, never what is found.
+    """
+    if level.count() <= hot_rows:
+        return None
+    share = min(1.0, 512 / hot_rows)
+    found = level.sample(share, seed).groupBy("bucket", "free").agg(F.count("*").alias("n")).where(F.col("n") >= max(2.0, 0.5 * share * hot_rows)).where(F.bit_count("free") > 12)
+    hot = written(found.select("bucket", "free"), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def links(prints: DataFrame, limit: int = LIMIT, hot_rows: int = 64 * LIMIT) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column ``print``), enough to connect every pair within the radius.
+
+    Buckets of ``hot_rows`` or more are dealt again where their rows lie, before any task gathers them.
+    """
+    level = prints.select("print", F.inline(_family(FULL))).select(F.xxhash64("t", F.col("print").bitwiseAND(F.col("m"))).alias("bucket"), "free", "print")
     found = None
     while True:
+        again = None
+        if (hot := _hot(level, hot_rows)) is not None:
+            # few buckets are hot: at most the rows of a level over hot_rows
+            masks = sorted(r["free"] for r in hot.select("free").distinct().collect())
+            family = F.create_map(*[x for m in masks for x in (F.lit(m), _family(m & FULL))])
+            again = level.join(hot, ["bucket", "free"], "left_semi").select("bucket", "print", F.inline(family[F.col("free")]))
+            again = again.select(F.xxhash64("bucket", "t", F.col("print").bitwiseAND(F.col("m"))).alias("bucket"), "free", "print")
+            level = level.join(hot, ["bucket", "free"], "left_anti")
         dealt = level.repartition("bucket", "free").sortWithinPartitions("bucket", "free", "print")
         result = written(dealt.mapInArrow(_search(limit), LINKS), "links")
         some = result.where("a is not null").select("a", "b")
         found = some if found is None else found.unionByName(some)
         level = result.where("bucket is not null").select("bucket", "free", "print")
+        if again is not None:
+            level = written(level.unionByName(again), "dealt")
         if level.isEmpty():
             return found
 
@@ -228,26 +259,28 @@ def components(edges: DataFrame) -> DataFrame:
     return star.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(id, sha, print, class_id, first) a document: ``class_id`` is the smallest id of its class, ``first`` true for the one row that stands for it."""
-    prints = written(fingerprints(docs, id_col, text_col, size), "prints")
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, row: Column | None = None) -> DataFrame:
+    """(id, row, print, class_id, first) a document: ``class_id`` is the smallest id of its class, ``first`` true for the one row that stands for it."""
+    prints = written(fingerprints(docs, id_col, text_col, size, row), "prints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     distinct = written(prints.groupBy("print").agg(F.min(order).alias("least")), "distinct")
     roots = components(links(distinct.select("print")))
     linked = distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     heads = linked.groupBy("root").agg(F.min("least").alias("head"))
     labels = linked.join(heads, "root").select("print", "head")
-    return prints.join(labels, "print").select("id", "sha", "print", F.col("head.id").alias("class_id"), (F.col("row") == F.col("head.row")).alias("first"))
+    return prints.join(labels, "print").select("id", "row", "print", F.col("head.id").alias("class_id"), (F.col("row") == F.col("head.row")).alias("first"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest id; of rows that repeat id and text, one."""
-    none, key, sha = fresh(docs, "_none", "_key", "_sha")
-    first = near_classes(docs, id_col, text_col, size).where("first")
-    keys = first.select(F.col("id").isNull().alias(none), F.col("id").alias(key), F.col("sha").alias(sha))
-    mine = docs.withColumns({none: F.col(f"`{id_col}`").isNull(), sha: F.sha2(text_of(text_col), 256)})
-    back = mine.join(keys, (mine[sha] == keys[sha]) & (mine[none] == keys[none]) & F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_semi")
-    return back.dropDuplicates([sha, none, id_col]).select(*[f"`{c}`" for c in docs.columns])
+    """``docs`` with one document of each class, the one with the smallest id; of rows that repeat id and text, one.
+
+    The documents are written once with a row number; the rows that go are a
+    table of row numbers: small ones are broadcast, others cost one exchange.
+    """
+    (row,) = fresh(docs, "_row")
+    base = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    gone = written(near_classes(base, id_col, text_col, size, F.col(row)).where("not first").select(F.col("row").alias(row)), "gone")
+    return base.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
