@@ -71,6 +71,28 @@ def series_breaks(annual: DataFrame, entity: str, end: str, tolerance: int = 15)
     return annual.withColumn("break", F.coalesce(moved > tolerance, F.lit(False)))
 
 
+def value_clusters(facts: DataFrame, key: Sequence[str], value: str, decimals: str) -> DataFrame:
+    """(key, cluster, value, n): values whose rounding intervals overlap in a chain are one cluster, numbered upwards; its most precise
+    value stands for it.  More than one cluster is a conflict."""
+    slack = F.coalesce(0.5 * F.pow(F.lit(10.0), -F.col(decimals)), F.lit(0.0))
+    ranged = facts.select(*key, F.col(value).alias("_v"), slack.alias("_t")).withColumns({"_low": F.col("_v") - F.col("_t"), "_high": F.col("_v") + F.col("_t")})
+    w = W.Window.partitionBy(*key).orderBy("_low", "_high", "_v")
+    before = F.max("_high").over(w.rowsBetween(W.Window.unboundedPreceding, -1))
+    numbered = ranged.withColumn("_new", F.coalesce((F.col("_low") > before).cast("int"), F.lit(0))).withColumn("cluster", F.sum("_new").over(w.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)))
+    return numbered.groupBy(*key, "cluster").agg(F.min_by("_v", F.struct("_t", "_v")).alias("value"), F.count("*").alias("n"))
+
+
+def assembled_series(annual: DataFrame, entity: str, start: str, end: str, tolerance: int = 15) -> DataFrame:
+    """Annual periods in order with ``break`` and ``segment``: a period that isn't a year long is a ``transition``; else a year end that
+    lies a year and more too late is a ``gap``, and one that moved otherwise a ``year_end``.  Each break begins the next segment."""
+    w = W.Window.partitionBy(entity).orderBy(end, start)
+    before, days = F.lag(end).over(w), F.datediff(end, start) + 1
+    late = F.datediff(F.col(end), F.add_months(before, 12))
+    kind = F.when(~days.between(365 - tolerance - 10, 366 + tolerance), "transition").when(late > 365 - tolerance, "gap").when(F.abs(late) > tolerance, "year_end")
+    told = annual.withColumn("break", kind)
+    return told.withColumn("segment", F.sum(F.col("break").isNotNull().cast("int")).over(w.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)))
+
+
 #: How many quarters a class of duration holds.
 RUNGS = {"QUARTER": 1, "YTD_2Q": 2, "YTD_3Q": 3, "ANNUAL": 4}
 
@@ -203,6 +225,16 @@ def equivalence_tier(head_a: Column, mods_a: Column, head_b: Column, mods_b: Col
     return F.when(head_a != head_b, "unrelated").when(extra == 0, "exact").when((extra == 1) & contained, "near").otherwise("unrelated")
 
 
+def rank_equivalents(atoms: DataFrame, name: str, head: str, modifiers: str, target: str) -> DataFrame:
+    """(name, tier, rank): concepts by how near they are to a target: exact, then near by fewest modifiers apart, then by name; unrelated ones are left out."""
+    asked = atoms.where(F.col(name) == target).select(F.col(head).alias("_h"), F.col(modifiers).alias("_m")).limit(1)
+    both = atoms.where(F.col(name) != target).crossJoin(F.broadcast(asked))  # one target
+    tier = equivalence_tier(F.col("_h"), F.col("_m"), F.col(head), F.col(modifiers))
+    apart = F.size(F.array_except("_m", modifiers)) + F.size(F.array_except(modifiers, "_m"))
+    found = both.select(name, tier.alias("tier"), apart.alias("_apart")).where("tier <> 'unrelated'")
+    return found.withColumn("rank", F.row_number().over(W.Window.partitionBy(F.lit(1)).orderBy("_apart", name))).drop("_apart")  # the few that are near
+
+
 def peers(rows: DataFrame, entity: str, head: str, modifiers: str) -> DataFrame:
     """(entity, class_id, peers): entities that share a coordinate are one class, named by its least entity; ``peers`` are the others in it.
 

@@ -150,3 +150,22 @@ def sessions(events: DataFrame, key: str, at: str, order: Sequence[str], gap: st
     before = F.lag(at).over(W.Window.partitionBy(key).orderBy(at, *order))
     begun = events.withColumn("_b", before).where(F.expr(f"_b is null or {at} - _b > interval {gap}"))
     return begun.groupBy(key).agg(F.count("*").alias("sessions"))
+
+
+def filtered(rows: DataFrame, form: str, date: str, forms: Sequence[str] = (), prefix: str = "", limit: int | None = None) -> DataFrame:
+    """Rows of these forms whose date, as text, begins with a prefix; at most ``limit`` of the latest."""
+    out = rows.where(F.col(form).isin(*forms)) if forms else rows
+    if prefix:
+        out = out.where(F.startswith(F.col(date).cast("string"), F.lit(prefix)))
+    return out.orderBy(F.desc(date), form).limit(limit) if limit is not None else out
+
+
+def ordered_fingerprint(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """(key, fingerprint, n): the digest of each key's values in order; keys are shards, whose values fit a task."""
+    told = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, F.col(value).cast("string").alias("_v")))), lambda x: F.coalesce(x["_v"], F.lit(""))), ",")
+    return rows.groupBy(key).agg(F.sha2(told, 256).alias("fingerprint"), F.count("*").alias("n"))
+
+
+def census(rows: DataFrame, groups: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """Rows and flagged rows by every prefix of the groups, totals included: one aggregation over a rollup."""
+    return rows.rollup(*groups).agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in flags.items()])

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from corvid.functions.dates import date_predicate, parse_dates
+from corvid.functions.text import has_suffix
+
 #: Upper limits of the bands as multiples of the family's median, and their names.
 BANDS = ((0.25, "very_small"), (1.0, "small"), (4.0, "median"), (16.0, "large"), (None, "very_large"))
 
@@ -72,6 +75,26 @@ def sample_groups(rows: DataFrame, group: str, key: str, seed: str, n: int) -> D
     return sample_top(heads, group, seed, n)
 
 
+def pool_for_value(rows: DataFrame, dimension: str, value: object, key: str, group: str, seed: str, n: int, excluded: DataFrame | None = None) -> DataFrame:
+    """At most ``n`` rows with a value of a dimension in seeded order, one a group (its first drawn), without those whose group is excluded."""
+    mine = rows.where(F.col(dimension) == F.lit(value))
+    if excluded is not None:
+        mine = mine.join(excluded.select(group).distinct(), group, "left_anti")
+    draw = F.struct(draw_order(seed, key), F.col(key))
+    one = mine.groupBy(group).agg(F.min_by(F.struct(*rows.columns), draw).alias("_r")).select("_r.*")
+    return one.withColumn("_draw", draw_order(seed, key)).orderBy("_draw", key).limit(n).drop("_draw")
+
+
+def candidate_predicate(name: Column | None = None, suffixes: Sequence[str] = (), size: Column | None = None, most: int | None = None, date: Column | None = None, dates: str = "") -> Column:
+    """Every given condition at once: a suffix of the name, a size that is known and at most ``most``, and a date selection."""
+    test = F.lit(True)
+    if suffixes:
+        test = test & has_suffix(name, tuple(suffixes))
+    if most is not None:
+        test = test & F.coalesce(size <= most, F.lit(False))
+    return test & date_predicate(date, parse_dates(dates)) if dates.strip() else test
+
+
 def top_per_key(rows: DataFrame, group: str, key: str, seed: str, n: int) -> DataFrame:
     w = W.Window.partitionBy(group).orderBy(draw_order(seed, key), key)
     return rows.withColumn("draw_rank", F.row_number().over(w)).where(F.col("draw_rank") <= n)

@@ -218,3 +218,19 @@ def conflict_groups(spark, sf_dir):
 def dense_ordinal(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey")
     return R.with_ordinal(o, [F.col("o_orderdate"), F.col("o_orderkey")], F.trunc("o_orderdate", "month")).select("ordinal", "o_orderkey")
+
+
+@query("""SELECT o_custkey, count(*) AS n, sha256(string_agg(o_orderstatus, ',' ORDER BY o_orderkey)) AS fingerprint FROM orders GROUP BY 1""")
+def ordered_fingerprint(spark, sf_dir):
+    return R.ordered_fingerprint(load(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderkey")
+
+
+@query("""SELECT o_orderstatus, o_orderpriority, CAST(grouping_id(o_orderstatus, o_orderpriority) AS INT) AS level, count(*) AS n, count(*) FILTER (o_totalprice > 100000) AS large FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""")
+def census(spark, sf_dir):
+    return R.census(load(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"], {"large": F.col("o_totalprice") > 100000})
+
+
+@query("""SELECT o_orderkey, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM') AND CAST(CAST(o_orderdate AS DATE) AS VARCHAR) LIKE '1996-0%'""")
+def filings_filter(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").cast("string").alias("d"))
+    return R.filtered(o, "o_orderpriority", "d", ["1-URGENT", "3-MEDIUM"], "1996-0")

@@ -192,3 +192,29 @@ def fact_cube(spark, sf_dir):
     end = F.lit("2024-01-01").cast("date")
     f = e.select("event_id", units.alias("unit"), F.when(F.col("event_id") % 2 == 0, F.date_sub(end, (F.col("event_id") % 400).cast("int"))).alias("start"), end.alias("end"), F.create_map(F.lit("b"), F.col("event_type"), F.lit("a"), F.get_json_object("props", "$.k")).alias("dims"))
     return A.normalized(f).select("event_id", "period", "unit_class", "slice")
+
+
+@query("""WITH f AS (SELECT l_partkey AS k, l_extendedprice AS v, 0.5 * pow(10.0, -(-(l_linenumber % 4))) AS t FROM lineitem), r AS (SELECT k, v, t, v - t AS lo, v + t AS hi FROM f),
+n AS (SELECT *, CASE WHEN lo > max(hi) OVER (PARTITION BY k ORDER BY lo, hi, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM r),
+c AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY k ORDER BY lo, hi, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM n) SELECT k, cluster, arg_min(v, (t, v)) AS value, count(*) AS n FROM c GROUP BY 1, 2""")
+def value_clusters(spark, sf_dir):
+    f = load(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_extendedprice").alias("v"), (-(F.col("l_linenumber") % 4)).alias("d"))
+    return A.value_clusters(f, ["k"], "v", "d")
+
+
+@query("""WITH a AS (SELECT o_custkey AS k, year(o_orderdate) AS y, max(CAST(o_orderdate AS DATE)) AS e, count(*) AS n FROM orders GROUP BY 1, 2), b AS (SELECT k, e, CAST(e - CASE WHEN n % 3 = 0 THEN 120 ELSE 364 END AS DATE) AS s FROM a),
+l AS (SELECT *, date_diff('day', CAST(lag(e) OVER (PARTITION BY k ORDER BY e, s) + INTERVAL 12 MONTH AS DATE), e) AS late FROM b),
+t AS (SELECT *, CASE WHEN date_diff('day', s, e) + 1 NOT BETWEEN 340 AND 381 THEN 'transition' WHEN late > 350 THEN 'gap' WHEN abs(late) > 15 THEN 'year_end' END AS break FROM l)
+SELECT k, CAST(e AS VARCHAR) AS e, break, CAST(sum(CASE WHEN break IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY e, s ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM t""")
+def assembled_series(spark, sf_dir):
+    a = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y")).agg(F.max(F.col("o_orderdate").cast("date")).alias("e"), F.count("*").alias("n"))
+    a = a.withColumn("s", F.date_sub("e", F.when(F.col("n") % 3 == 0, 120).otherwise(364)))
+    return A.assembled_series(a, "k", "s", "e").select("k", F.col("e").cast("string").alias("e"), "break", "segment")
+
+
+@query(f"""{_ATOMS}, d AS (SELECT DISTINCT 'c' || p_partkey AS name, head, mods FROM a), t AS (SELECT head AS h, mods AS w FROM d WHERE name = 'c7'),
+x AS (SELECT name, len(list_filter(w, lambda q: NOT list_contains(mods, q))) AS p, len(list_filter(mods, lambda q: NOT list_contains(w, q))) AS q FROM d, t WHERE name <> 'c7' AND head = h)
+SELECT name, CASE WHEN p + q = 0 THEN 'exact' ELSE 'near' END AS tier, CAST(row_number() OVER (ORDER BY p + q, name) AS INT) AS rank FROM x WHERE p + q = 0 OR (p + q = 1 AND (p = 0 OR q = 0))""")
+def ranked_equivalents(spark, sf_dir):
+    a = _atoms(spark, sf_dir).withColumn("name", F.concat(F.lit("c"), "p_partkey"))
+    return A.rank_equivalents(a, "name", "head", "mods", "c7")

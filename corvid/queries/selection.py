@@ -161,3 +161,16 @@ def identifiers(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     raw = F.concat_ws("-", X.padded_cik(F.col("o_custkey")), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0"), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "0"))
     return o.select("o_orderkey", X.padded_cik(F.col("o_custkey")).alias("cik"), X.accession_year(raw).alias("year"), X.accession_digits(raw).alias("digits"))
+
+
+@query("""WITH x AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P'), m AS (SELECT o_custkey, o_orderkey, sha256('s7:' || o_orderkey) AS d FROM orders WHERE o_orderpriority = '2-HIGH' AND o_custkey NOT IN (SELECT o_custkey FROM x))
+SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS rn FROM m) WHERE rn = 1 ORDER BY d, o_orderkey LIMIT 60""")
+def pool_for_value(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    return S.pool_for_value(o, "o_orderpriority", "2-HIGH", "o_orderkey", "o_custkey", "s7", 60, o.where("o_orderstatus = 'P'")).select("o_custkey", "o_orderkey")
+
+
+@query(r"""SELECT page_id FROM pages WHERE (regexp_matches(lower(url), '\.html$') OR regexp_matches(lower(url), '\.txt$')) AND length(html) <= 4000 AND quarter(DATE '2020-01-01' + CAST(page_id % 700 AS INT)) = 2""")
+def candidate_predicate(spark, sf_dir):
+    p = load(spark, sf_dir, "pages").withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("page_id") % 700).cast("int")))
+    return p.where(S.candidate_predicate(F.col("url"), ("html", "txt"), F.length("html"), 4000, F.col("d"), "@Q2")).select("page_id")
