@@ -12,8 +12,11 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
+from corvid.llm.common import by_bytes, trim, written
+
 TRIM = "\"'`.,;:!?()[]{}<>*&%$#@|~^-_=+/\\"
 
 
@@ -51,20 +54,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
 
 def bounded(rows: DataFrame, features: list[str], max_bytes: int) -> list[Row]:
     """The rows (id, features, y) a model is fitted on, sorted: one a labelled id (of rows that repeat it, the least), in order of
-    a hash of the id while their features stay within ``max_bytes`` together, so that what the driver holds is bounded whatever the texts."""
-    one = rows.groupBy("id").agg(F.min(F.struct(*features, "y")).alias("r"))
-    size = reduce(add, [F.length(f"r.{f}") for f in features]).cast("long")
-    upto = F.sum(size).over(W.Window.orderBy(F.xxhash64("id"), "id").rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow))  # one row a sampled id
-    return sorted(one.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("r.*").collect())
+    a hash of the id while their features stay within ``max_bytes`` together, so that what the driver holds is bounded whatever the texts.
+
+    The running sum is over ids and sizes only: at most as many rows as the sample has ids.
+    """
+    size = reduce(add, [F.length(f) for f in features]).cast("long")
+    told = written(rows.withColumns({"size": size, "hash": F.xxhash64(*features)}), "features")
+    one = told.groupBy("id").agg(F.min(F.struct("size", "hash", "y")).alias("r")).select("id", "r.*")
+    upto = F.sum("size").over(W.Window.orderBy(F.xxhash64("id"), "id").rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow))
+    some = one.withColumn("upto", upto).where(F.col("upto") <= max_bytes).drop("upto")
+    chosen = told.join(F.broadcast(some), ["id", "size", "hash", "y"], "left_semi").dropDuplicates(["id"])
+    return sorted(chosen.select(*features, "y").collect())
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str, text_col: str) -> DataFrame:
     """(id, score): ``score`` maps the texts of a batch to scores."""
-    from corvid.llm.common import by_bytes
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score(batch.column("text")).astype(np.float64))], names=["id", "score"])
+        trim()
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
@@ -72,10 +80,6 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str
 
 def with_scores(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], text_col: str, out: str) -> DataFrame:
     """``docs`` with the column ``out``: the score of the text, every other column as it is."""
-    from pyspark.sql import types as T
-
-    from corvid.llm.common import by_bytes
-
     names = docs.columns
     place = names.index(text_col)
 
@@ -84,6 +88,7 @@ def with_scores(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], text_c
             for batch in by_bytes([whole], text_col):
                 texts = pc.fill_null(batch.column(place).cast(pa.string()), "")
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score(texts).astype(np.float64))], names=[*names, out])
+        trim()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
