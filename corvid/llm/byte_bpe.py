@@ -39,8 +39,9 @@ from pyspark.sql import types as T
 from corvid.llm.common import by_bytes, table, text_of, trim
 
 CACHE = 150_000  # chunks kept by a task, with their pre-tokens; emptied beyond that
-SLICE = 4 << 20  # bytes of text encoded at once
-ROWS = 150_000  # token-position rows that a recursive query starts with (one longer pre-token is a query of its own)
+SLICE = 2 << 20  # bytes of text encoded at once
+DECODED = 200_000  # ids that a decoding query takes (a longer document is a query of its own)
+ROWS = 60_000  # token-position rows that a recursive query starts with (one longer pre-token is a query of its own)
 SPLIT = 16  # steps after which unfinished words are split where no token can join their parts
 STEPPED = 3_000_000  # rows that a query may step through before it is cut off; unfinished words begin the next query
 #: Unicode white space; a chunk is a run of it with the run of other characters after it.
@@ -296,7 +297,17 @@ class Coder:
         return ids, np.diff(sums[ends])
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-        """The bytes of each document's ids; KeyError for an id outside the vocabulary."""
+        """The bytes of each document's ids; KeyError for an id outside the vocabulary.  A query takes ``DECODED`` ids or so."""
+        upto = np.cumsum(sizes)
+        out: list[bytes] = []
+        while len(out) < len(sizes):
+            done = len(out)
+            first = int(upto[done - 1]) if done else 0
+            end = max(done + 1, int(np.searchsorted(upto, first + DECODED, "right")))
+            out += self._decode(ids[first : int(upto[end - 1])], sizes[done:end])
+        return out
+
+    def _decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         ends = np.cumsum(sizes)
         place = np.arange(len(ids), dtype=np.int32) - np.repeat(ends - sizes, sizes).astype(np.int32)
         self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), "p": place, "id": ids.astype(np.int32)}))
