@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import io
 import itertools
 import re
 import zlib
@@ -64,13 +65,51 @@ def test_secrets(spark, sf, docs):
     assert any(r["n_hex"] for r in got.values())
 
 
+def brute_secrets(rows, owners=3, repos=6, least=3.0):
+    """id: (spans, verdicts) by a plain pass over every text and a count over every pair of value and document."""
+    found = {}
+    for i, text, lang, source in rows:
+        base = [(m.start(), 0, m.end(), m[2]) for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("(?i:", "((?i:", 1).replace("key)", "key))", 1), text or "") if len(m[2]) >= 8]
+        base += [(m.start(), 1, m.end(), m[0]) for m in re.finditer(r"AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 16]
+        base += [(m.start(), 2, m.end(), m[0]) for m in re.finditer(r"[0-9a-f]+", text or "") if len(m[0]) >= 32]
+        other = [(m.start(), 3, m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or "") if not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
+        other = [x for x in other if re.search("[0-9]", x[3]) and re.search("[A-Za-z]", x[3]) and secrets.entropy(x[3]) >= least]
+        found[i] = (sorted(base + other), lang, source)
+    held = {}
+    for spans, lang, source in found.values():
+        for *_, value in spans:
+            held.setdefault(value, set()).add((source, (source, lang)))
+    out = {}
+    for i, (spans, _, _) in found.items():
+        told = []
+        for s, k, e, value in spans:
+            copied = len({o for o, _ in held[value]}) >= owners or len({r for _, r in held[value]}) >= repos
+            verdict = "example" if copied else "live" if secrets.looks_live(value, least) else "dull"
+            if k < 3 or verdict == "live":
+                told.append((f"{secrets.KINDS[k]}:{s}:{e}", verdict))
+        out[i] = told
+    return out
+
+
 def test_secrets_ownership(spark):
-    live, known = "Zx9Kq2Lm7Pv4Ws8Tb3Yd", "Ab1Cd2Ef3Gh4Ij5Kl6Mn"
-    rows = [(1, f"see {live} there", "en", "a"), (2, f"é {live}", "en", "a")] + [(k, f"docs {known}", "en", f"s{k}") for k in range(3, 9)] + [(9, "token: abc token=12345678", "en", None), (10, "SECRET: short secret = 'abcdefgh'", None, None)]
-    got = by_id(secrets.digest(secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))))
-    assert got[1]["spans"] == "owner:4:24:".removesuffix(":") and got[2]["spans"] == "owner:2:22"
-    assert all(got[k]["spans"] == "" for k in range(3, 9))
-    assert got[9]["n_assign"] == 1 and got[10]["n_assign"] == 1
+    """Spans and verdicts on a corpus with copied tokens (by owners, and by repositories of few owners) and single-owner ones."""
+    order = np.random.default_rng(11)
+    letters = [*"ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789"]
+    token = lambda n: "".join(order.choice(letters, n))
+    by_owners, by_repos, live, dull = token(24), token(30), [token(22) for _ in range(8)], "abcdefgh12345678abcdefgh"
+    rows = [(k, f"é see {by_owners} there", "en", f"s{k % 4}") for k in range(8)] + [(10 + k, f"{by_repos} x token={by_repos}", f"l{k}", f"t{k % 2}") for k in range(7)]
+    rows += [(30 + k, f"w {v} secret: {v} AKIA{'Q7W2E9R4T6Y1'} {dull}", "en" if k % 3 else None, f"s{k}") for k, v in enumerate(live)]
+    rows += [(50, "password = changeme-example api_key='abcdefghijklmnop'", "en", None), (51, "password=Zx9Kq2Lm", None, None), (52, None, None, None), (53, "", "en", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: [(f"{x['kind']}:{x['start']}:{x['end']}", x["verdict"]) for x in r["spans"]] for r in secrets.scan_secrets(df).collect()}
+    want = brute_secrets(rows)
+    assert got == want
+    seen = {v for spans in want.values() for _, v in spans}
+    assert seen == {"example", "live", "dull"} and any(k.startswith("owner") for spans in want.values() for k, _ in spans)
+    # the aggregation decides: repositories alone make the second token an example, and without that bound it is live
+    assert {v for _, v in got[10]} == {"example"}
+    loose = {r["doc_id"]: {x["verdict"] for x in r["spans"]} for r in secrets.scan_secrets(df, example_repos=100).collect()}
+    assert loose[10] == {"live"}
 
 
 def test_secrets_odd(spark, odd):
@@ -82,8 +121,7 @@ def test_secrets_odd(spark, odd):
 
 
 def test_exact_dedup(spark, odd):
-    report, _, _ = exact_dedup.copies(odd)
-    rows = report.collect()
+    rows = exact_dedup.copies(odd).collect()
     assert len(rows) == odd.count()
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     groups = {}
@@ -99,12 +137,30 @@ def test_exact_dedup(spark, odd):
     assert exact_dedup.drop_copies(odd.limit(0)).count() == 0
 
 
-def test_exact_dedup_full_filter(spark):
-    """Past the filter's capacity everything is suspected, and results stay the same."""
-    docs = spark.range(60_000).selectExpr("id as doc_id", "concat('t', id % 50000) as text")
-    report, _, bits = exact_dedup.copies(docs, max_bits=1 << 15)
-    assert bits == 1 << 15
-    assert report.where("kept").count() == 50_000 and report.where("group_size = 2").count() == 20_000
+@pytest.mark.parametrize("max_bits", [1 << 15, 1 << 18, 1 << 28])
+def test_exact_dedup_ranges(spark, max_bits):
+    """Past one filter's size hash ranges have filters of their own: the same rows stay, and few that occur once are suspected."""
+    docs = spark.range(60_000).selectExpr("id as doc_id", "concat('t', id % 50000) as text", "id as range", "'x' as own", "id as row")
+    ranges, bits = exact_dedup.filter_bits(60_000, max_bits)
+    assert bits <= max_bits and ranges * bits >= 16 * 60_000 and (ranges > 1) == (max_bits < 1 << 20)
+    if ranges > 9:
+        docs, n = docs.where("doc_id < 6000 or doc_id >= 50000 and doc_id < 53000"), 6000
+        assert exact_dedup.filter_bits(9000, max_bits)[0] == 5
+    else:
+        n = 50_000
+    report = exact_dedup.copies(docs, max_bits=max_bits).cache()
+    twice = 2 * (docs.count() - n)
+    assert report.where("kept").count() == n and report.where("group_size = 2").count() == twice
+    assert report.where("suspected and group_size = 1").count() < n / 20
+    kept = exact_dedup.drop_copies(docs, max_bits=max_bits)
+    assert kept.columns == docs.columns and kept.count() == n and kept.where("doc_id >= 50000").count() == 0
+
+
+def test_exact_dedup_hot(spark):
+    """A third of all rows is one text, and one id repeats: one row stays."""
+    docs = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, 'hot  text', concat('t', id)) as text")
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.count() == 20_001 and kept.where("text = 'hot  text'").count() == 1
 
 
 # 3
@@ -141,8 +197,8 @@ def test_simhash(spark, sf, docs):
     assert [got[i]["component_id"] for i, _ in docs] == [docs[c][0] for c in brute_classes(prints)]
 
 
-@pytest.mark.parametrize("limit", [8, 4096])
-def test_covering_finds_every_link(spark, limit):
+@pytest.mark.parametrize("limit, hot_rows", [(8, 1 << 20), (4096, 1 << 20), (8, 20), (4096, 60)])
+def test_covering_finds_every_link(spark, limit, hot_rows):
     """Chains, dense clusters and over-full buckets: components equal brute force."""
     order = np.random.default_rng(limit)
     prints = {0, simhash.FULL}
@@ -156,7 +212,7 @@ def test_covering_finds_every_link(spark, limit):
             p = q if order.random() < 0.3 else p
     prints = sorted(prints, key=simhash._signed)
     df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "print long")
-    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(df, limit)).collect()}
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(df, limit, hot_rows)).collect()}
     want = brute_classes(prints)
     assert [roots.get(simhash._signed(p), simhash._signed(p)) for p in prints] == [simhash._signed(prints[w]) for w in want]
 
@@ -186,7 +242,6 @@ def test_token_files(spark, sf, docs):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    whole.encode_special_tokens = True
     got, start = by_id(token_files.op4_token_files(spark, sf)), 0
     for (i, _), e in zip(docs, whole.encode_batch([t for _, t in docs], add_special_tokens=False), strict=True):
         ids = [*e.ids, 1]
@@ -220,7 +275,7 @@ def test_token_files_added_tokens(spark, tmp_path):
 def test_token_files_odd(spark, odd, tmp_path):
     for docs in (odd, odd.limit(0)):
         folder = f"file://{tmp_path}/{docs.count()}"
-        manifest = token_files.write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), rows_per_range=4, shard_tokens=50)
+        manifest = token_files.write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), range_bytes=4000, shard_tokens=50)
         got = token_files.read_token_files(manifest, folder).collect()
         assert len(got) == docs.count()
         at = 0
@@ -246,6 +301,45 @@ def test_wavelet(tokens):
         matrix.select(1 << 20, 0)
 
 
+def test_wavelet_reads_parts():
+    """Access and rank of an open file read its head and one block a plane."""
+    tokens = np.random.default_rng(4).integers(0, 40_000, 600_000).astype(np.uint32)
+    image = wavelet.to_bytes(wavelet.WaveletMatrix.build(tokens), np.arange(3), np.array([1, 2, 599_997]))
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.taken += len(out)
+            return out
+
+    file = Counted(image)
+    matrix, ids, _ = wavelet.opened(file)
+    head = file.taken
+    assert len(ids) == 0 and head < len(image) / 5
+    for i in (0, 65_535, 65_536, 599_999):
+        before = file.taken
+        assert matrix.access(i) == tokens[i] and file.taken - before < len(image) / 4
+    t = int(tokens[300_000])
+    places = np.flatnonzero(tokens == t)
+    assert matrix.rank(t, 300_000) == (places < 300_000).sum() and matrix.occurrences(t) == places.tolist()
+
+
+def test_token_files_access(spark, sf, tmp_path):
+    """A shard's tokens one by one, and rows that repeat an id in several ranges."""
+    folder, path = f"file://{tmp_path}/t", public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(300).selectExpr("if(id < 100, 5, id) as doc_id", "if(id < 50, 'same text here', concat('w', id, ' x y')) as text", "id as row", "'c' as ids")
+    manifest = token_files.write_token_files(docs, folder, path, range_bytes=400, shard_tokens=100)
+    shards = manifest.orderBy("part", "seq").collect()
+    got = sorted(token_files.read_token_files(manifest, folder, 100).collect(), key=lambda r: r["start"])
+    assert len(got) == 300 and [r["id"] for r in got] == sorted(r["id"] for r in got) and len({s["part"] for s in shards}) > 3
+    first = shards[0]
+    matrix, ids, sizes = wavelet.from_bytes(open(first["path"], "rb").read())
+    whole = matrix.tokens().tolist()
+    assert [token_files.token_at(folder, first["path"], k) for k in range(0, len(whole), 9)] == whole[::9] and whole[sizes[0] - 1] == 1
+
+
 # 5
 
 
@@ -269,7 +363,7 @@ def test_mixing_realised(spark):
     drawn = {}
     for r in got:
         drawn[r["source"]] = drawn.get(r["source"], 0) + r["n_tokens"]
-    for s, (wanted, _, _) in mixture.plan.items():
+    for s, wanted in mixture.table.select("s", "wanted").collect():
         assert wanted - 5 <= drawn.get(s, 0) <= wanted or wanted == 0
     assert max(r["block"] for r in got) >= 10
     times = {}
@@ -286,8 +380,19 @@ def test_mixing_odd(spark, odd):
     assert kept.columns == odd.columns and kept.count() >= odd.count()
     assert kept.distinct().count() == odd.distinct().count()
     assert mixing.mix(odd.limit(0), repeat_limit=1.25, cover=True).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix(odd, entropy_share=0.9, max_sources=1)
+
+
+@pytest.mark.parametrize("share, limit", [(0.9, None), (0.99, None), (None, 1.5)])
+def test_mixing_many_sources(spark, share, limit):
+    """Beyond ``max_sources`` the plan is a table: the same exponent, plan and rows."""
+    rows = [(k, "w " * (1 + k % 5), None if k % 50 == 0 else "hot" if k % 3 else f"s{k % 70}") for k in range(2000)] + [(3000, "", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one, two = (mixing.Mixture(docs, "source", "doc_id", "text", 1, share, limit, None, limit is not None, n) for n in (100, 3))
+    assert one.small and not two.small and abs(one.exponent - two.exponent) < 2e-9
+    assert sorted(map(str, one.table.collect())) == sorted(map(str, two.table.select(one.table.columns).collect()))
+    assert sorted(map(str, one.realised(500).collect())) == sorted(map(str, two.realised(500).collect()))
+    drawn = [sorted(r["doc_id"] for r in mixing.mix(docs, seed=1, entropy_share=share, repeat_limit=limit, max_sources=n).collect()) for n in (100, 3)]
+    assert drawn[0] == drawn[1]
 
 
 # 6
@@ -320,6 +425,24 @@ def test_byte_bpe_fuzz(bpe):
         coder.decode(np.array([50_000_0], np.uint32), np.array([1]))
 
 
+def test_byte_bpe_long_words(bpe, monkeypatch):
+    """Texts of a single word, through the same recursive queries: any letters, CJK, repeats, and words that a query cuts off early."""
+    coder = byte_bpe.coder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    order = np.random.default_rng(6)
+    han, letters = [chr(x) for x in range(0x4E00, 0x5000)], [*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"]
+    texts = ["".join(order.choice(letters, 6000)), "a" * 20_000, "ab" * 4000, "".join(order.choice(han, 3000)), " ".join("".join(order.choice(han, 80)) for _ in range(40)), "é" * 999, "-=" * 3000, "the" * 2000]
+    texts += ["".join(order.choice([*"etaoinshrdlu"], int(order.integers(30, 400)))) for _ in range(60)]
+    want = [bpe.encode_ordinary(t) for t in texts]
+    for rows, stepped, split in ((byte_bpe.ROWS, byte_bpe.STEPPED, byte_bpe.SPLIT), (500, 2000, 3), (10, 1, 1)):
+        for name, value in (("ROWS", rows), ("STEPPED", stepped), ("SPLIT", split)):
+            monkeypatch.setattr(byte_bpe, name, value)
+        coder.forget()
+        some = slice(None) if stepped > 2000 else slice(8, 24)
+        ids, sizes = coder.encode(pa.array(texts[some]))
+        assert [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == want[some]
+    coder.forget()
+
+
 @pytest.mark.parametrize("part", ["encode", "decode"])
 def test_pipeline_decodes(spark, monkeypatch, part):
     """The last stage holds decoded ids against the text: ids or bytes that are wrong don't pass."""
@@ -362,6 +485,39 @@ def test_toxicity(spark, sf):
     assert accuracy(by_id(toxicity.op8_toxicity(spark, sf)), truth, 5, 0) >= 0.9
 
 
+def test_toxicity_by_hand(spark, sf, docs):
+    """Every score is the logistic of the intercept and the weights of a text's distinct features, gathered one by one."""
+    from corvid.llm.hashing import TRIM
+
+    model = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    weight = dict(zip(model.slots.tolist(), model.weights.astype(float).tolist(), strict=True))
+    assert 0 < len(weight) < toxicity.SLOTS / 20
+    got = {r["doc_id"]: r["score"] for r in toxicity.op8_toxicity(spark, sf).collect()}
+    full, hashed = (1 << 64) - 1, lambda w: xxhash.xxh64_intdigest(w)
+    for i, text in docs:
+        words = [w for w in (x.strip(TRIM) for x in re.split("[\t-\r ]+", text.lower())) if w]
+        slots = {hashed(w) for w in words} | {hashed("\0" + w[:4]) for w in words}
+        for gap, by in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
+            for a, b in zip(words, words[gap:], strict=False):
+                slots.add((hashed(a) * by & full ^ hashed(b) >> 7 ^ hashed(b)) >> 20)
+        total = model.bias + sum(weight.get(s, 0.0) for s in {s % toxicity.SLOTS for s in slots})
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(total, -35, 35)))) < 1e-6
+
+
+def test_sample_bounds(spark):
+    """The sample holds one row a labelled id, however often that repeats, and no more bytes than it may."""
+    docs = spark.range(3000).selectExpr("id % 40 as doc_id", "concat('word', id, ' ', repeat(concat('x', id, ' '), 30)) as text")
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic", "cast(id % 2 as int) as quality")
+    rows, sizes = toxicity.sampled(docs, labels)
+    assert len(rows) == sum(sizes) < 40 and {y for _, y in rows} == {0, 1}
+    few, _ = toxicity.sampled(docs, labels, max_bytes=rows[0][0].nbytes * 5)
+    assert 0 < len(few) < 8 and len(toxicity.sampled(docs, labels, bound=10)[0]) == 10
+    assert toxicity.sampled(docs, labels, max_bytes=0)[0] == []
+    # without a row to fit on, every score is the share of the class
+    none = toxicity.train(docs, labels, max_bytes=0)
+    assert len(none.slots) == 0 and abs(1 / (1 + np.exp(-none.bias)) - sizes[1] / sum(sizes)) < 1e-9
+
+
 def test_factorisation_identity():
     """The linear-time score equals the sum over pairs."""
     order = np.random.default_rng(2)
@@ -409,10 +565,16 @@ def test_mpeg_parse():
     found = mpeg_audio.parse(data)
     assert mpeg_audio.unpack(data, found) == payload
     assert found["vbr"]["frames"] == found["frames"] == len(found["offsets"]) and found["crc_failed"] == 0
-    assert found["duration_us"] == found["frames"] * 1152 * 1_000_000 // 32000 and found["tags"]["TXXX:payload"] == str(len(payload))
+    assert found["duration_us"] == found["frames"] * 1152 * 1_000_000 // 32000 and found["tags"]["TXXX:payload"] == f"{len(payload)}/{zlib.crc32(payload):08x}"
     broken = bytearray(data)
     broken[found["offsets"][1] + 8] ^= 1
-    assert mpeg_audio.parse(bytes(broken))["crc_failed"] == 1
+    again = mpeg_audio.parse(bytes(broken))
+    assert again["crc_failed"] == 1
+    changed = bytearray(data)
+    changed[found["offsets"][1] + 100] ^= 1
+    for bad, said in ((bytes(broken), again), (bytes(changed), mpeg_audio.parse(bytes(changed))), (data[: found["offsets"][2]], mpeg_audio.parse(data[: found["offsets"][2]]))):
+        with pytest.raises(ValueError):
+            mpeg_audio.unpack(bad, said)
     torn = data[: found["offsets"][2]] + b"\xff\xf9junk" + data[found["offsets"][2] :] + b"TAG" + b"name".ljust(125, b"\0")
     again = mpeg_audio.parse(torn)
     assert again["frames"] == found["frames"] and again["skipped"] == 6 and again["tags"]["TIT2"] == "name"
@@ -428,6 +590,30 @@ def test_mpeg_other_streams():
     assert (b["frames"], b["samples"], b["rate"], b["layer"]) == (3, 3456, 48000, 2)
 
 
+def test_mpeg_rate_changes():
+    """A stream that changes its sampling rate lasts as long as its parts together."""
+    low, high = bytes([0xFF, 0xFD, 0x48, 0x00]) + bytes(284), bytes([0xFF, 0xFD, 0x44, 0x00]) + bytes(188)
+    found = mpeg_audio.parse(low * 2 + high * 3)
+    assert mpeg_audio.header(low, 0).rate == 32000 and mpeg_audio.header(high, 0).rate == 48000
+    assert found["frames"] == 5 and found["duration_us"] == 2 * 36_000 + 3 * 24_000
+
+
+def test_mpeg_query(spark, sf, docs):
+    """Every column of the query that its contract fixes, by plain Python."""
+    got = by_id(mpeg_audio.op9_mpeg_audio(spark, sf))
+    assert len(got) == len(docs)
+    for i, text in docs:
+        data = text.encode()
+        payload = data + b" " * (-len(data) % 192 if data else 192)
+        media = mpeg_audio.pack(payload)
+        r = got[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["tail_crc32"], r["media_bytes"]) == (len(data), len(payload), zlib.crc32(payload[-16:]), len(media))
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["media_sha256"] == hashlib.sha256(media).hexdigest()
+        frames = -(-len(payload) // (mpeg_audio.SIZES[-1] - mpeg_audio.BODY))
+        assert r["frames"] == frames and r["duration_us"] == frames * 36_000 and r["feature"].startswith(f"mpeg1 layer 3 32000 Hz Xing frames={frames} samples={1152 * frames} ")
+    assert mpeg_audio.read_back(mpeg_audio.store(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+
+
 def test_mpeg_features(spark):
     df = spark.createDataFrame([(1, bytearray(mpeg_audio.pack(b"x" * 4000))), (2, None), (3, bytearray(b""))], "id long, media binary")
     rows = by_id(mpeg_audio.media_features(df), "id")
@@ -447,6 +633,52 @@ def test_chat_fold(spark):
     assert [(r["conv"], r["msg"], r["role"], r["text"]) for r in got] == [(1, 0, "user", "hello"), (1, 1, "assistant", "right"), (1, 3, "user", "after"), (2, 0, "", "")]
 
 
+def replay(events):
+    """The standing messages of a log, event by event."""
+    held, begun = {}, {}
+    for conv, msg, seq, kind, role, payload in sorted(events, key=lambda e: (e[0], e[2])):
+        key = (conv, msg)
+        if key not in held:
+            held[key], begun[key] = [role or "", ""], seq
+        if kind == "delta":
+            held[key][1] += payload or ""
+        elif kind == "edit":
+            held[key][1] = payload or ""
+        elif kind == "delete":
+            held[key].append("gone")
+        else:
+            held[key][1] = ""
+            for other in held:
+                if other[0] == conv and other[1] > msg and begun[other] < seq:
+                    held[other].append("gone")
+    return sorted((c, m, x[0], x[1]) for (c, m), x in held.items() if len(x) == 2)
+
+
+def test_chat_fold_replay(spark):
+    """Random logs fold to what a plain replay leaves; so does the log that as_events makes, with its columns in any company."""
+    order = np.random.default_rng(9)
+    events = []
+    for conv in range(60):
+        seq = 0
+        for _ in range(int(order.integers(1, 40))):
+            seq += int(order.integers(1, 3))
+            kind = str(order.choice(["delta", "delta", "delta", "edit", "regenerate", "delete"], p=[0.3, 0.3, 0.22, 0.08, 0.07, 0.03]))
+            msg = int(order.integers(0, 6))
+            events.append((conv, msg, seq, kind, f"r{msg % 2}", None if order.random() < 0.1 else f"<{seq}&"))
+    kinds = "conv long, msg long, seq long, kind string, role string, payload string"
+    df = spark.createDataFrame(events, kinds)
+    got = sorted((r["conv"], r["msg"], r["role"], r["text"]) for r in chat.fold(df.selectExpr("*", "1 as text", "2 as log", "3 as turn")).collect())
+    assert got == replay(events) and len(got) > 60
+    assert chat.fold(df.limit(0)).count() == 0 and chat.read_back(chat.render(chat.fold(df.limit(0)))).count() == 0
+    rows = [(c, k, "assistant" if k % 2 else "user", "t\u00e9xt <&> " * int(order.integers(0, 4)) + str(k)) for c in range(20) for k in range(int(order.integers(1, 9)))]
+    log = chat.as_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' as payload", "0 as n", "9 as msg"))
+    told = [tuple(r) for r in log.select(*chat.EVENTS).collect()]
+    assert {e[3] for e in told} == {"delta", "edit", "regenerate", "delete"} and len(told) > 2 * len(rows)
+    assert len({(e[0], e[1]) for e in told}) > len(rows)
+    folded = sorted((r["conv"], r["msg"], r["role"], r["text"]) for r in chat.fold(log).collect())
+    assert folded == replay(told) and [x[2:] for x in folded] == [(r, t) for _, _, r, t in sorted(rows, key=lambda x: x[:2])]
+
+
 def test_chat_round_trip(spark):
     texts = ["", "&lt;", "<turn role=\"assistant\">", "</turn>\n", "\\### Assistant: </turn> ok", "&amp;quot;\"", "\n\n", "é😀" * 50, None]
     rows = [(1, k, r, t) for k, (t, r) in enumerate(itertools.product(texts, ["assistant", 'u"s<er&', None]))] + [(1, 0, "assistant", ""), (None, None, "user", "x")]
@@ -469,6 +701,7 @@ def test_pipeline(spark, sf, docs):
     at = spark.read.parquet(f"{sf}/documents.parquet")
     texts = dict(docs)
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t)
+    before = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         at = corpus_pipeline.written(stage(spark, at, sf), "test")
         assert at.columns == ["doc_id", "text", "lang", "source", "n_chars"]
@@ -484,4 +717,67 @@ def test_pipeline(spark, sf, docs):
         if name == "source mixing":
             assert set(now) == kept
         kept = set(now)
-    assert corpus_pipeline.run(spark, sf).count() == at.count()
+        if name == "source mixing":
+            assert {i: now.count(i) for i in kept} == brute_mix([(r["doc_id"], r["source"], r["text"]) for r in before], corpus_pipeline.REPEATS)
+        before = at.collect()
+    bpe = tiktoken_encoding()
+    want = sorted((r["doc_id"], tuple(bpe.encode_ordinary(r["text"] or ""))) for r in before)
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r["doc_id"], tuple(r["ids"])) for r in got) == want and all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def brute_mix(rows, limit, seed=42):
+    """How often each id is drawn when every source gets one whole epoch at least."""
+    sources = {}
+    for i, s, t in rows:
+        sources.setdefault(s, []).append((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+    tokens = {s: sum(n for _, n in some) for s, some in sources.items()}
+    plan = mixing.plan(tokens, mixing.exponent_for_repeats(list(tokens.values()), limit))
+    out = {}
+    for s, some in sources.items():
+        _, whole, rest = plan[s]
+        upto = 0
+        for i, n in sorted(some, key=lambda x: hashlib.md5(f"{seed}:{whole}:{x[0]}".encode()).hexdigest()):
+            upto += n
+            out[i] = whole + (rest > 0 and upto <= rest)
+    return out
+
+
+def tiktoken_encoding():
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_odd(spark, odd, tmp_path, labels, name, stage):
+    """Every stage on nulls in every column, repeated rows, clashing names and no rows at all."""
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd, odd.limit(0)):
+        got = stage(spark, docs, str(tmp_path))
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == ["doc_id", "ids", "n_tokens"] and got.count() == docs.count()
+        else:
+            assert got.columns == docs.columns and set(map(str, got.collect())) <= set(map(str, docs.collect()))
+
+
+def test_pipeline_odd(spark, odd, tmp_path, labels):
+    labels.limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "ids", "n_tokens"] and 0 < got.count() < odd.count()
+
+
+def test_shared_dir_needs_a_cluster_setting():
+    """On more than one machine a scratch folder must be named; none is made up."""
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Context:
+        master, getConf = "spark://somewhere:7077", staticmethod(Conf)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        corpus_pipeline.written.__globals__["shared_dir"](Session)
