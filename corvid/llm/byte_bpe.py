@@ -395,7 +395,7 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
 def _round_trip(path: str, pattern: str, cache: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(path, pattern)
-        for batch in by_bytes(batches, most=SLICE):
+        for batch in by_bytes(batches, most=2 * SLICE):
             ids, sizes = mine.encode(batch.column("text"), cache)
             ends, view = np.cumsum(sizes), memoryview(ids.astype("<u4").tobytes())
             coded = [hashlib.sha256(view[4 * (e - s) : 4 * e]).hexdigest() for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
