@@ -138,6 +138,15 @@ def identity(facts: DataFrame, key: Sequence[str], concept: str, value: str, plu
     return complete.select(*key, computed.alias("computed"), F.col(total).alias("reported"), (F.abs(computed - F.col(total)) <= tolerance * F.greatest(F.abs(F.col(total)), F.lit(1.0))).alias("holds"))
 
 
+def binary_round(x: Column, places: int | Column) -> Column:
+    """A double rounded half away from zero as DuckDB does it: scaled by a power of ten, rounded, scaled back.
+
+    ``F.round`` takes the shortest decimal text of the double instead, and differs where scaling falls to the other side of a half.
+    """
+    by = F.pow(F.lit(10.0), F.lit(places) if isinstance(places, int) else places)
+    return F.round(x * by) / by
+
+
 def eps_identity(facts: DataFrame, key: Sequence[str], income: str, shares: str, eps: str, decimals: str) -> DataFrame:
     """(key, computed, reported, holds): income over shares against earnings a share, at the precision it is printed with;
     keys without all three, or without shares, are left out."""

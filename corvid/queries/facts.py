@@ -167,10 +167,10 @@ SELECT k, round(i / s, 3) AS computed, round(e, 3) AS reported, abs(i / s - e) <
 def eps_identity(spark, sf_dir):
     one = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("i"), F.sum("l_quantity").alias("s"))
     d = (F.col("k") % 3).cast("int")
-    printed = F.when(d == 0, F.round(F.col("i") / F.col("s"), 0)).when(d == 1, F.round(F.col("i") / F.col("s"), 1)).otherwise(F.round(F.col("i") / F.col("s"), 2)) + F.when(F.col("k") % 4 == 0, 0.7).otherwise(0.0)
+    printed = A.binary_round(F.col("i") / F.col("s"), d) + F.when(F.col("k") % 4 == 0, 0.7).otherwise(0.0)
     told = F.array(*[F.struct(F.lit(c).alias("concept"), v.cast("double").alias("value")) for c, v in (("Income", F.col("i")), ("Shares", F.col("s")), ("EPS", printed))])
     facts = one.select("k", d.alias("decimals"), F.inline(told))
-    return A.eps_identity(facts, ["k"], "Income", "Shares", "EPS", "decimals").withColumns({"computed": F.round("computed", 3), "reported": F.round("reported", 3)})
+    return A.eps_identity(facts, ["k"], "Income", "Shares", "EPS", "decimals").withColumns({c: A.binary_round(F.col(c), 3) for c in ("computed", "reported")})
 
 
 @query("""WITH o AS (SELECT o_custkey AS k, year(o_orderdate) AS y, quarter(o_orderdate) AS q, CAST(round(o_totalprice) AS BIGINT) AS v, o_orderkey AS filed FROM orders),

@@ -358,6 +358,17 @@ def test_identities(spark):
     assert rows(A.rounding_conflicts(r, ["k"], "v", "d").select("k", "agreed"), "k") == [("x", True), ("y", False)]
 
 
+def test_rounding_in_binary(spark):
+    """Halves that scaling moves: 2071.4275 times 1000 is below a half, 2342.6775 a half; F.round would take both up."""
+    import duckdb
+
+    given = [(2071.4275, 3), (2342.6775, 3), (-2071.4275, 3), (1.005, 2), (2.5, 0), (-2.5, 0), (None, 1)]
+    want = [duckdb.execute("SELECT round(?::DOUBLE, ?::INT)", row).fetchone()[0] for row in given]
+    df = spark.createDataFrame([(k, *row) for k, row in enumerate(given)], "k int, x double, d int")
+    assert rows(df.select("k", A.binary_round(F.col("x"), F.col("d"))), "k") == list(enumerate(want))
+    assert want[0] == 2071.427 and df.where("k = 0").select(F.round("x", 3)).first()[0] == 2071.428
+
+
 # Viewer
 
 
