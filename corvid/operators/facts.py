@@ -147,6 +147,13 @@ def binary_round(x: Column, places: int | Column) -> Column:
     return F.round(x * by) / by
 
 
+def sums_in_order(rows: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """(key, values): sums of doubles, added one by one in an order that tells rows apart: the last bits of such a sum depend on it.  Nulls are left out."""
+    w = W.Window.partitionBy(*key).orderBy(*order)
+    upto = w.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)
+    return rows.select(*key, *[F.sum(v).over(upto).alias(v) for v in values], F.lead(F.lit(1)).over(w).alias("_next")).where("_next is null").drop("_next")
+
+
 def eps_identity(facts: DataFrame, key: Sequence[str], income: str, shares: str, eps: str, decimals: str) -> DataFrame:
     """(key, computed, reported, holds): income over shares against earnings a share, at the precision it is printed with;
     keys without all three, or without shares, are left out."""

@@ -369,6 +369,32 @@ def test_rounding_in_binary(spark):
     assert want[0] == 2071.427 and df.where("k = 0").select(F.round("x", 3)).first()[0] == 2071.428
 
 
+def test_sums_in_order(spark):
+    """1e16 swallows a one that follows it, so each order has its own sum; how rows are dealt out doesn't matter."""
+    given = [("a", 0, 1.0, None), ("a", 1, 1e16, None), ("a", 2, 1.0, None), ("a", 3, -1e16, None), ("b", 0, 1e16, 2.0), ("b", 1, -1e16, None), ("b", 2, 1.0, 3.0)]
+    df = spark.createDataFrame(random.Random(3).sample(given, len(given)), "k string, n int, x double, y double").repartition(5)
+    assert rows(A.sums_in_order(df, ["k"], ["n"], ["x", "y"]), "k") == [("a", 0.0, None), ("b", 1.0, 5.0)]
+    assert rows(A.sums_in_order(df.withColumn("n", -F.col("n")), ["k"], ["n"], ["x"]), "k") == [("a", 1.0), ("b", 0.0)]
+
+
+def test_eps_sums(spark, tmp_path):
+    """Orders whose rows lie far apart, in several row groups and files' worth of splits: as the SQL on one thread."""
+    import duckdb
+
+    from corvid import queries as own
+
+    con = duckdb.connect(config={"threads": 1})
+    con.execute(f"COPY (SELECT * FROM '/root/testdata/sf0.01/lineitem.parquet' ORDER BY hash(l_partkey, l_suppkey, l_extendedprice)) TO '{tmp_path}/lineitem.parquet' (ROW_GROUP_SIZE 2048)")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    want = con.execute(f"SELECT k, computed, reported, holds FROM ({own.oracle_sql()['eps_identity']}) ORDER BY k").fetchall()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert rows(own.queries()["eps_identity"](spark, str(tmp_path)).select("k", "computed", "reported", "holds"), "k") == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 # Viewer
 
 
