@@ -17,6 +17,7 @@ from pyspark.sql import window as W
 
 from corvid.llm.common import by_bytes, trim, written
 
+SLICE = 2 << 20  # bytes of text scored at once: the arrays of its features take some thirty times that
 TRIM = "\"'`.,;:!?()[]{}<>*&%$#@|~^-_=+/\\"
 
 
@@ -70,7 +71,7 @@ def bounded(rows: DataFrame, features: list[str], max_bytes: int) -> list[Row]:
 def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], id_col: str, text_col: str) -> DataFrame:
     """(id, score): ``score`` maps the texts of a batch to scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, most=SLICE):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score(batch.column("text")).astype(np.float64))], names=["id", "score"])
         trim()
 
@@ -85,7 +86,7 @@ def with_scores(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in by_bytes([whole], text_col):
+            for batch in by_bytes([whole], text_col, SLICE):
                 texts = pc.fill_null(batch.column(place).cast(pa.string()), "")
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score(texts).astype(np.float64))], names=[*names, out])
         trim()

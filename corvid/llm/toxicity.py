@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm.common import by_bytes, fresh, table
-from corvid.llm.hashing import bounded, hashes, held_out, labelled_sample, scored, sigmoid, with_scores, words
+from corvid.llm.common import by_bytes, fresh, table, trim
+from corvid.llm.hashing import SLICE, bounded, hashes, held_out, labelled_sample, scored, sigmoid, with_scores, words
 
 SLOTS = 1 << 20
 PREFIX = 4
@@ -53,11 +53,12 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in by_bytes(batches):
+    for batch in by_bytes(batches, most=SLICE):
         text, slot = features(batch.column("text"))
         key = np.unique(text * SLOTS + slot)
         rows = np.split((key % SLOTS).astype("<u4"), np.searchsorted(key // SLOTS, np.arange(1, batch.num_rows)))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in rows], pa.binary()), batch.column("y").cast(pa.int32())], names=["id", "slots", "y"])
+    trim()
 
 
 class Model:

@@ -485,6 +485,23 @@ def test_toxicity(spark, sf):
     assert accuracy(by_id(toxicity.op8_toxicity(spark, sf)), truth, 5, 0) >= 0.9
 
 
+def test_classifier_slices(spark):
+    """A worker scores about 2 MB of text at once, whatever the batch, and a text's score is the same in any slice."""
+    from pyspark.sql import functions as F
+
+    from corvid.llm import hashing
+
+    df = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(300)), lambda k: F.hex(F.xxhash64("id", k)).substr(1, 8))).alias("text"))
+    size = lambda texts: np.full(len(texts), float(pa.compute.sum(pa.compute.binary_length(texts)).as_py()))
+    for found in (hashing.scored(df, size, "doc_id", "text"), hashing.with_scores(df, size, "text", "score")):
+        assert 1 << 20 < max(r["score"] for r in found.collect()) <= 2 << 20
+    texts = pa.array([r["text"] for r in df.orderBy("doc_id").collect()])
+    draw = np.random.default_rng(5)
+    model = toxicity.Model(0.1, np.arange(toxicity.SLOTS), draw.normal(size=toxicity.SLOTS).astype(np.float32))
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    assert (np.concatenate([model.score(b.column("text")) for b in hashing.by_bytes([batch], most=hashing.SLICE)]) == model.score(texts)).all()
+
+
 def test_toxicity_by_hand(spark, sf, docs):
     """Every score is the logistic of the intercept and the weights of a text's distinct features, gathered one by one."""
     from corvid.llm.hashing import TRIM
