@@ -370,3 +370,31 @@ def test_approx_distinct(spark, sf, column):
     got = {r["column"]: r for r in own.queries()["approx_distinct"](spark, sf).collect()}[column]
     ((exact,),) = duckdb.sql(f"SELECT count(DISTINCT {column}) FROM '{sf}/orders.parquet'").fetchall()
     assert abs(got["distinct"] - exact) <= max(1, 0.1 * exact)
+
+
+def test_equivalent_facts_spread(spark, monkeypatch):
+    """Pairs by brute force, with nulls, repeats and several equivalents; no task makes all rows of a frequent concept."""
+    from collections import Counter
+
+    monkeypatch.setattr(P, "BLOCK", 8)
+    draw = random.Random(11)
+    some = [(draw.choice([k, None, 7]), draw.choice(["hot"] * 8 + ["cold", "lone", None]), draw.choice(["USD", "shares", None]), draw.choice([True, False, None]), draw.choice([1, 2, None])) for k in range(200)]
+    facts = spark.createDataFrame(some, "filing long, concept string, unit string, instant boolean, dims int").coalesce(1)
+    same = [("hot", "hot", "exact"), ("hot", "cold", "near"), ("cold", "hot", "near"), ("none", "lone", "exact")]
+    source = facts.where("filing % 3 = 0").withColumnRenamed("filing", "k")
+
+    def verdict(a, b):
+        differ = lambda x, y: x is not None and y is not None and x != y
+        return "unit" if differ(a[2], b[2]) else "period" if differ(a[3], b[3]) else "dimensions" if a[4] != b[4] else "comparable"
+
+    want = Counter((a[0], b[0], tier, verdict(a, b)) for a in some if a[0] is not None and a[0] % 3 == 0 for x, y, tier in same if x == a[1] for b in some if b[1] == y)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = P.equivalent_facts(source, facts, spark.createDataFrame(same, "concept string, equivalent string, tier string"), "k")
+        assert found.columns == ["k", "filing", "tier", "verdict"]
+        assert Counter(tuple(r) for r in found.collect()) == want
+        tasks = Counter(r["t"] for r in found.where("tier = 'exact'").select(F.spark_partition_id().alias("t")).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert len(tasks) > 4 and max(tasks.values()) < sum(tasks.values()) / 2
